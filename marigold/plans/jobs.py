@@ -1,7 +1,8 @@
 """Read, check, compute, write: the jobs a user submits.
 
-A job scans its input once, and the counts it reports are observed by the action that does the work. A failing job
-raises; only a missing raw source is reported and passed over, because sources arrive independently.
+A job evaluates its plan once; the counts it reports are observed by the write itself, and the size of a
+Parquet input comes from its footers. A failing job raises; only a missing raw source is reported and
+passed over, because sources arrive independently.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from marigold.functions.calendar import DAY_FORMAT
 from marigold.functions.text import FILE_STEM, FILE_STEM_ANY_SEPARATOR
@@ -18,7 +19,7 @@ from marigold.operators.explore import describe_columns
 from marigold.plans import masters, summaries
 from marigold.sources import schemas
 from marigold.sources.files import choose_files, chosen_paths, with_file_key
-from marigold.sources.sinks import Written, counted, export_csv, write_parquet
+from marigold.sources.sinks import Written, export_csv, write_parquet
 from marigold.sources.tables import if_exists, read_csv, read_parquet, uri
 from marigold.staging import materialise
 
@@ -72,19 +73,13 @@ PARTITIONS = {
 def _master_from_text(
     job: str, raw: DataFrame | None, plan: Callable[[DataFrame], DataFrame], text_day: str, typed_day: str, target: str
 ) -> JobReport:
-    """Write a master with one row per raw row, counting rows and unparsable days in the same action."""
+    """Write a master with one row per raw row; days that did not parse are counted by the write."""
     if raw is None:
         return JobReport(job, "missing")
-    kept = raw.withColumn("__text", F.col(text_day))
-    typed, rows = counted(plan(kept), f"{job} days")
-    checked, bad = _with_unparsed(typed, "__text", typed_day)
-    written = write_parquet(checked.drop("__text"), target, PARTITIONS[job])
-    return JobReport(job, "done", rows.get["rows"], written, {"unparsed_days": bad.get["unparsed"]})
-
-
-def _with_unparsed(df: DataFrame, text: str, parsed: str):
-    observation = Observation(f"unparsed {parsed}")
-    return df.observe(observation, unparsed(F.col(text), F.col(parsed)).alias("unparsed")), observation
+    typed = plan(raw.withColumn("__text", F.col(text_day)))
+    bad = {"unparsed_days": unparsed(F.col("__text"), F.col(typed_day))}
+    written = write_parquet(typed, target, PARTITIONS[job], metrics=bad, hidden=["__text"])
+    return JobReport(job, "done", written.rows, written, dict(written.metrics))
 
 
 def build_festival_sales(spark: SparkSession, layout: Layout, source: str = "Festival_Sales.csv", fmt: str = DAY_FORMAT, strict: bool = False) -> JobReport:
@@ -128,9 +123,11 @@ def build_weather_daily(
     scan = if_exists(lambda: read_csv(spark, paths, schemas.weather()))
     if scan is None:
         return JobReport(job, "missing")
-    readings, rows = counted(with_file_key(scan, "city", pattern, underscore_as_space), f"{job} input")
-    written = write_parquet(masters.weather_daily(readings, zone), layout.master(job), PARTITIONS[job])
-    return JobReport(job, "done", rows.get["rows"], written, findings)
+    readings = with_file_key(scan, "city", pattern, underscore_as_space)
+    daily = masters.weather_daily(readings, zone, rows="__readings")
+    read = {"input_rows": F.sum("__readings")}
+    written = write_parquet(daily, layout.master(job), PARTITIONS[job], metrics=read, hidden=["__readings"])
+    return JobReport(job, "done", written.metrics["input_rows"], written, findings)
 
 
 def build_masters(spark: SparkSession, layout: Layout) -> list[JobReport]:
@@ -139,9 +136,9 @@ def build_masters(spark: SparkSession, layout: Layout) -> list[JobReport]:
 
 
 def _run_summary(spark: SparkSession, layout: Layout, job: str, plan: Callable[[DataFrame], DataFrame]) -> JobReport:
-    sales, rows = counted(read_parquet(spark, layout.master("products"), {"year": "int"}), f"{job} input")
+    sales = read_parquet(spark, layout.master("products"))
     written = write_parquet(plan(sales), layout.summary(job), PARTITIONS[job])
-    return JobReport(job, "done", rows.get["rows"], written)
+    return JobReport(job, "done", sales.count(), written)
 
 
 def run_overall_kpis(spark: SparkSession, layout: Layout) -> JobReport:
@@ -166,16 +163,16 @@ def run_weather_sales_summary(spark: SparkSession, layout: Layout) -> JobReport:
     The joined city-days are materialised once and feed the report, the sample and the summary.
     """
     job = "weather_sales_summary"
-    sales, sales_rows = counted(read_parquet(spark, layout.master("products"), {"year": "int"}), f"{job} sales")
-    weather, weather_rows = counted(read_parquet(spark, layout.master("weather_daily")), f"{job} weather")
+    sales = read_parquet(spark, layout.master("products"))
+    weather = read_parquet(spark, layout.master("weather_daily"))
     days = materialise(summaries.sales_days_with_weather(sales, weather))
     report: Row = summaries.unmatched_report(days).first()
-    findings = {**report.asDict(), "weather_rows": weather_rows.get["rows"]}
+    findings = {**report.asDict(), "weather_rows": weather.count()}
     if report.alarm:
         sample = summaries.unmatched_days_sample(days)
         findings["sample"] = export_csv(sample, layout.debug("unmatched_joins"), header=False).path
     written = write_parquet(summaries.weather_sales_from_days(days), layout.summary(job), PARTITIONS[job])
-    return JobReport(job, "done", sales_rows.get["rows"], written, findings)
+    return JobReport(job, "done", sales.count(), written, findings)
 
 
 def csv_to_parquet(spark: SparkSession, layout: Layout, source: str, target: str, shown: int = 5) -> JobReport:

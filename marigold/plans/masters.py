@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, functions as F
 
 from marigold.functions.bands import positive_flag
 from marigold.functions.calendar import DAY_FORMAT, day_in_zone, parse_day, with_calendar
 from marigold.operators.checks import require
-from marigold.operators.summarize import Measures, preaggregate, reported
+from marigold.operators.summarize import Measures, summarize
 
 # What the daily weather carries where the readings say nothing.
 UNKNOWN_STATE = "Unknown"
@@ -32,15 +34,17 @@ def products(raw: DataFrame, fmt: str = DAY_FORMAT, strict: bool = False) -> Dat
     return with_calendar(typed, "festival_date")
 
 
-def weather_daily(readings: DataFrame, zone: str = "UTC", city: str = "city", at: str = "date") -> DataFrame:
-    """Hourly readings to one row per city and calendar day in ``zone``.
+def weather_daily(
+    readings: DataFrame, zone: str = "UTC", city: str = "city", at: str = "date", rows: str | None = None
+) -> DataFrame:
+    """Hourly readings to one row per city and calendar day in ``zone``; ``rows`` adds their number.
 
     Partial aggregation runs before the one shuffle, so a city with most of the readings costs no more
     than its days.
     """
     require(readings, [city, at, *READINGS.inputs], "weather")
     hourly = readings.select(F.col(city).alias("city"), day_in_zone(readings, at, zone).alias("date"), *READINGS.inputs)
-    daily = reported(preaggregate(hourly, ["city", "date"], READINGS), ["city", "date"], READINGS)
+    daily = summarize(hourly, ["city", "date"], replace(READINGS, rows=rows))
     flagged = daily.withColumn("rain_flag", positive_flag(F.col("total_precip_mm")))
     return with_calendar(flagged, "date").withColumns(
         {

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 @dataclass(frozen=True)
@@ -15,12 +15,7 @@ class Written:
     path: str
     rows: int
     schema: str
-
-
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """``df`` with its rows counted on the way by whatever action runs it. The observation is filled then."""
-    observation = Observation(name)
-    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+    metrics: dict = field(default_factory=dict)
 
 
 def spread_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,10 +34,21 @@ def write_table(
     partition_by: Sequence[str] = (),
     dynamic: bool = False,
     header: bool = True,
+    metrics: Mapping[str, Column] | None = None,
+    hidden: Sequence[str] = (),
 ) -> Written:
-    """Overwrite ``path``. With ``dynamic`` only the partition folders that occur in ``df`` are replaced."""
-    tallied, observation = counted(spread_by(df, partition_by))
-    writer = tallied.write.mode("overwrite").format(fmt)
+    """Overwrite ``path`` and count what is written, in one action.
+
+    ``metrics`` are further aggregates to observe on the way; they may use ``hidden`` columns, which are
+    observed but not written. The observation sits behind the last shuffle: there each row counts once
+    even when lost executors make tasks run again, which does not hold for counts taken before a shuffle.
+    With ``dynamic`` only the partition folders that occur in ``df`` are replaced.
+    """
+    observation = Observation()
+    wanted = [value.alias(name) for name, value in (metrics or {}).items()]
+    tallied = spread_by(df, partition_by).observe(observation, F.count(F.lit(1)).alias("rows"), *wanted)
+    visible = tallied.drop(*hidden)
+    writer = visible.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", header)
     if dynamic:
@@ -50,11 +56,12 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return Written(path, observation.get["rows"], df.schema.simpleString())
+    seen = dict(observation.get)
+    return Written(path, seen.pop("rows"), visible.schema.simpleString(), seen)
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = False) -> Written:
-    return write_table(df, path, "parquet", partition_by, dynamic)
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), **kwargs) -> Written:
+    return write_table(df, path, "parquet", partition_by, **kwargs)
 
 
 def export_csv(df: DataFrame, path: str, header: bool = True) -> Written:

@@ -16,7 +16,7 @@ from marigold.operators.summarize import Measures, summarize
 from marigold.plans import masters, summaries
 from marigold.sources.files import chosen_paths, keep_listed, list_files, match_names, with_file_key
 from marigold.sources.schemas import weather as weather_schema
-from marigold.sources.sinks import counted, export_csv as write_csv, write_parquet, write_table
+from marigold.sources.sinks import export_csv as write_csv, write_parquet, write_table
 from marigold.sources.tables import read_csv, read_parquet, uri
 from marigold.staging import scratch_path
 
@@ -168,10 +168,11 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read and written, counted by the one write of a checked table."""
-    rows = sales(spark, sf_dir, "festival_date", *SALE_INPUTS, "discount_pct", "seller_rating")
-    source, seen = counted(require(rows, ["festival_date", *SALE_INPUTS], "sales"), "sales read")
-    written = write_parquet(summaries.overall_kpis(source), scratch_path(spark, "kpis"), ["year", "month"])
-    report = [("overall_kpis", seen.get["rows"], written.rows)]
+    rows = sales(spark, sf_dir, "festival_date", *summaries.DAILY_KPIS.inputs)
+    daily = summaries.overall_kpis(require(rows, ["festival_date", *SALE_INPUTS], "sales"))
+    path = scratch_path(spark, "kpis")
+    written = write_parquet(daily, path, ["year", "month"], metrics={"input_rows": F.sum("total_tx")})
+    report = [("overall_kpis", written.metrics["input_rows"], written.rows)]
     return spark.createDataFrame(report, "plan string, input_rows bigint, output_rows bigint")
 
 
