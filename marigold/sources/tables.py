@@ -29,7 +29,7 @@ def read_csv(
     over all of it.
     """
     paths = path if isinstance(path, str) else list(path)
-    reader = spark.read.options(header=True, **options)
+    reader = spark.read.options(**{"header": True, **options})
     if schema is None:
         return reader.option("inferSchema", infer).csv(paths)
     if by == "position":
@@ -40,7 +40,7 @@ def read_csv(
     declared = {field.name: field.dataType for field in schema}
     header = reader.csv(first).columns
     typed = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header])
-    return spark.read.options(header=True, **options).schema(typed).csv(paths)
+    return reader.schema(typed).csv(paths)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], partition_types: Mapping[str, str] | None = None) -> DataFrame:
