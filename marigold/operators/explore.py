@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from marigold.functions.text import RUPEE, items_as_text, label_of, two_decimals, whole_number
 from marigold.operators.checks import date_like_columns, numeric_columns
+from marigold.operators.summarize import totals
 
 # Fragments of a column name that make its headline a sum; all others show a mean.
 MONEY_FRAGMENT = "revenue"
@@ -97,20 +98,22 @@ def _reported_sum(df: DataFrame, total: str) -> Column:
     return F.col(total).cast("double") if exact else F.col(total)
 
 
-def bar_data(df: DataFrame, x: str, y: str, color: str | None = None) -> DataFrame:
+def bar_data(df: DataFrame, x: str, y: str, color: str | None = None, minor_digits: int | None = None) -> DataFrame:
     """Height of each bar: the sum of ``y`` per ``x``, or per (``x``, ``color``) for stacked bars."""
     keys = [x] if color in (None, x) else [x, color]
-    bars = df.groupBy(*keys).agg(F.sum(y).alias(y))
+    bars = totals(df, keys, y, y, minor_digits)
     return bars.select(*keys, _reported_sum(bars, y).alias(y))
 
 
-def share_data(df: DataFrame, names: str, values: str, share: str = "share_pct") -> DataFrame:
+def share_data(
+    df: DataFrame, names: str, values: str, share: str = "share_pct", minor_digits: int | None = None
+) -> DataFrame:
     """Sum of ``values`` per name and its percentage of the whole. Rows without a name are left out.
 
     The whole is a scalar subquery over the grouped rows: Spark reuses their shuffle, so the table is read
     once and no window pulls the groups into one task.
     """
-    slices = df.filter(F.col(names).isNotNull()).groupBy(names).agg(F.sum(values).alias(values))
+    slices = totals(df.filter(F.col(names).isNotNull()), [names], values, values, minor_digits)
     whole = slices.agg(F.sum(values).cast("double")).scalar()
     percent = F.try_divide(F.col(values).cast("double"), whole) * 100
     return slices.select(names, _reported_sum(slices, values).alias(values), percent.alias(share))

@@ -11,11 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from marigold.operators.summarize import totals
+
 RANK = "rank"
 
 
-def keep_top(totals: DataFrame, group: Sequence[str], item: str, measure: str, n: int, ties: str = "all") -> DataFrame:
-    """Rows of ``totals`` whose ``measure`` ranks among the ``n`` highest of their group, with the rank.
+def keep_top(totalled: DataFrame, group: Sequence[str], item: str, measure: str, n: int, ties: str = "all") -> DataFrame:
+    """Rows of ``totalled`` whose ``measure`` ranks among the ``n`` highest of their group, with the rank.
 
     ``ties="all"`` keeps every row that shares a kept rank, so a group may hold more than ``n``;
     ``ties="first"`` keeps exactly ``n``, equal measures ordered by ``item``. Nulls rank last.
@@ -27,19 +29,29 @@ def keep_top(totals: DataFrame, group: Sequence[str], item: str, measure: str, n
     else:
         raise ValueError(f"ties must be 'all' or 'first', not {ties!r}")
     window = Window.partitionBy(*group).orderBy(*order)
-    return totals.withColumn(RANK, position.over(window)).filter(F.col(RANK) <= n)
-
-
-def top_items(df: DataFrame, group: Sequence[str], item: str, measure: str, n: int, ties: str = "all", total: str = "total") -> DataFrame:
+    return totalled.withColumn(RANK, position.over(window)).filter(F.col(RANK) <= n)
+
+
+def top_items(
+    df: DataFrame,
+    group: Sequence[str],
+    item: str,
+    measure: str,
+    n: int,
+    ties: str = "all",
+    total: str = "total",
+    minor_digits: int | None = None,
+) -> DataFrame:
     """The ``n`` items of each group with the highest sum of ``measure``."""
-    totals = df.groupBy(*group, item).agg(F.sum(measure).alias(total))
-    return keep_top(totals, group, item, total, n, ties)
+    return keep_top(totals(df, [*group, item], measure, total, minor_digits), group, item, total, n, ties)
 
 
-def top_label(df: DataFrame, group: Sequence[str], label: str, measure: str, alias: str, ties: str = "all") -> DataFrame:
-    """The label with the highest sum of ``measure`` in each group; one row per tied label by default."""
-    best = top_items(df, group, label, measure, 1, ties)
-    return best.select(*group, F.col(label).alias(alias))
+def top_label(totalled: DataFrame, group: Sequence[str], label: str, measure: str, alias: str, ties: str = "all") -> DataFrame:
+    """The label with the highest ``measure`` in each group of ``totalled``, which has one row per (group, label).
+
+    One row per tied label by default.
+    """
+    return keep_top(totalled, group, label, measure, 1, ties).select(*group, F.col(label).alias(alias))
 
 
 def collect_top(top: DataFrame, group: Sequence[str], item: str, measure: str, alias: str, measure_alias: str) -> DataFrame:

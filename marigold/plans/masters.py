@@ -35,7 +35,12 @@ def products(raw: DataFrame, fmt: str = DAY_FORMAT, strict: bool = False) -> Dat
 
 
 def weather_daily(
-    readings: DataFrame, zone: str = "UTC", city: str = "city", at: str = "date", rows: str | None = None
+    readings: DataFrame,
+    zone: str = "UTC",
+    city: str = "city",
+    at: str = "date",
+    rows: str | None = None,
+    minor_digits: int | None = None,
 ) -> DataFrame:
     """Hourly readings to one row per city and calendar day in ``zone``; ``rows`` adds their number.
 
@@ -44,7 +49,7 @@ def weather_daily(
     """
     require(readings, [city, at, *READINGS.inputs], "weather")
     hourly = readings.select(F.col(city).alias("city"), day_in_zone(readings, at, zone).alias("date"), *READINGS.inputs)
-    daily = summarize(hourly, ["city", "date"], replace(READINGS, rows=rows))
+    daily = summarize(hourly, ["city", "date"], replace(READINGS, rows=rows, minor_digits=minor_digits))
     flagged = daily.withColumn("rain_flag", positive_flag(F.col("total_precip_mm")))
     return with_calendar(flagged, "date").withColumns(
         {

@@ -2,11 +2,15 @@
 
 Each is a plan over masters. Where a summary needs two aggregates of the fact table, both are rolled up from
 one shared pre-aggregate, so the fact is scanned and shuffled once.
+
+Money that is stored as decimal adds up exactly. For money that is stored as double, ``minor_digits`` says how
+many decimal digits it has and makes its totals exact too; without it doubles are added as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,7 +19,7 @@ from marigold.functions.calendar import with_calendar
 from marigold.operators.checks import DAY, NUMBER, require
 from marigold.operators.enrich import enrich, match_report, unmatched_sample
 from marigold.operators.ranking import collect_top, keep_top, top_label
-from marigold.operators.summarize import Measures, preaggregate, reported, roll_up, summarize
+from marigold.operators.summarize import Measures, preaggregate, reported, roll_up, summarize, total_of
 from marigold.staging import materialise
 
 TOP_PRODUCTS = 5
@@ -37,15 +41,20 @@ SALES_AND_ROWS = Measures(sums=SALES.sums, means=SALES.means, rows="sale_rows")
 Share = Callable[[DataFrame], DataFrame]
 
 
-def overall_kpis(sales: DataFrame) -> DataFrame:
+def overall_kpis(sales: DataFrame, minor_digits: int | None = None) -> DataFrame:
     """Revenue, units, transactions and mean price, discount and rating per day."""
     require(sales, {"festival_date": None, **dict.fromkeys(DAILY_KPIS.inputs, NUMBER)}, "products")
-    daily = summarize(sales.withColumn("date", F.col("festival_date").cast("date")), ["date"], DAILY_KPIS)
+    dated = sales.withColumn("date", F.col("festival_date").cast("date"))
+    daily = summarize(dated, ["date"], replace(DAILY_KPIS, minor_digits=minor_digits))
     return with_calendar(daily, "date")
 
 
 def festival_category_summary(
-    sales: DataFrame, n: int = TOP_PRODUCTS, ties: str = "all", share: Share = materialise
+    sales: DataFrame,
+    n: int = TOP_PRODUCTS,
+    ties: str = "all",
+    share: Share = materialise,
+    minor_digits: int | None = None,
 ) -> DataFrame:
     """Totals per festival, category and year, each with the top products of its festival and year.
 
@@ -55,15 +64,18 @@ def festival_category_summary(
     keys = ["festival", "product_category", "year"]
     group = ["festival", "year"]
     require(sales, {**dict.fromkeys([*keys, "product"]), **dict.fromkeys(SALES.inputs, NUMBER)}, "products")
-    fine = share(preaggregate(sales, [*keys, "product"], SALES))
-    per_category = reported(roll_up(fine, keys, SALES), keys, SALES)
-    per_product = fine.groupBy(*group, "product").agg(F.sum("__sum_revenue_INR").alias("product_revenue"))
+    fine = share(preaggregate(sales, [*keys, "product"], replace(SALES, minor_digits=minor_digits)))
+    per_category = reported(roll_up(fine, keys), keys, SALES)
+    revenue = total_of(fine, "revenue_INR", F.sum)
+    per_product = fine.groupBy(*group, "product").agg(revenue.alias("product_revenue"))
     top = keep_top(per_product, group, "product", "product_revenue", n, ties)
     lists = collect_top(top, group, "product", "product_revenue", "top_products", "revenue")
     return per_category.join(lists, group, "left")
 
 
-def geo_summary(sales: DataFrame, ties: str = "all", share: Share = materialise) -> DataFrame:
+def geo_summary(
+    sales: DataFrame, ties: str = "all", share: Share = materialise, minor_digits: int | None = None
+) -> DataFrame:
     """Totals per place and year with the category that sells best in the city.
 
     Tied best categories give one row each, with the totals repeated, unless ``ties="first"``.
@@ -71,20 +83,24 @@ def geo_summary(sales: DataFrame, ties: str = "all", share: Share = materialise)
     keys = ["state", "city", "latitude", "longitude", "year"]
     group = ["state", "city", "year"]
     require(sales, {**dict.fromkeys([*keys, "product_category"]), **dict.fromkeys(SALES.inputs, NUMBER)}, "products")
-    fine = share(preaggregate(sales, [*keys, "product_category"], SALES))
-    per_place = reported(roll_up(fine, keys, SALES), keys, SALES)
-    best = top_label(fine, group, "product_category", "__sum_revenue_INR", "top_category", ties)
+    fine = share(preaggregate(sales, [*keys, "product_category"], replace(SALES, minor_digits=minor_digits)))
+    per_place = reported(roll_up(fine, keys), keys, SALES)
+    revenue = total_of(fine, "revenue_INR", F.sum)
+    per_category = fine.groupBy(*group, "product_category").agg(revenue.alias("category_revenue"))
+    best = top_label(per_category, group, "product_category", "category_revenue", "top_category", ties)
     return per_place.join(best, group, "left")
 
 
-def payment_vendor_summary(sales: DataFrame) -> DataFrame:
+def payment_vendor_summary(sales: DataFrame, minor_digits: int | None = None) -> DataFrame:
     """Totals and mean discount per vendor type, payment methods and year."""
     keys = ["vendor_type", "payment_methods", "year"]
     require(sales, {**dict.fromkeys(keys), **dict.fromkeys(VENDOR.inputs, NUMBER)}, "products")
-    return summarize(sales, keys, VENDOR)
+    return summarize(sales, keys, replace(VENDOR, minor_digits=minor_digits))
 
 
-def sales_days_with_weather(sales: DataFrame, weather: DataFrame, day: str = "festival_date") -> DataFrame:
+def sales_days_with_weather(
+    sales: DataFrame, weather: DataFrame, day: str = "festival_date", minor_digits: int | None = None
+) -> DataFrame:
     """Sales reduced to one state row per city and day, left-joined with the weather of that city and day.
 
     Aggregating first turns a join of two fact-sized tables into one of two calendar-sized ones: the only
@@ -95,7 +111,7 @@ def sales_days_with_weather(sales: DataFrame, weather: DataFrame, day: str = "fe
     require(sales, {"city": None, day: DAY, **dict.fromkeys(SALES.inputs, NUMBER)}, "products")
     require(weather, {"city": None, "date": DAY, **dict.fromkeys(measures, NUMBER)}, "weather")
     dated = sales.withColumn("join_date", F.col(day).cast("date"))
-    days = preaggregate(dated, ["city", "join_date"], SALES_AND_ROWS)
+    days = preaggregate(dated, ["city", "join_date"], replace(SALES_AND_ROWS, minor_digits=minor_digits))
     readings = weather.withColumn("weather_date", F.col("date").cast("date"))
     return enrich(days, readings, {"city": "city", "join_date": "weather_date"}, measures)
 
@@ -113,14 +129,19 @@ def weather_sales_from_days(days: DataFrame, unknown_label: str | None = None) -
             "rain_flag": positive_flag(F.col("total_precip_mm")),
         }
     )
-    return reported(roll_up(banded, keys, SALES), keys, SALES)
+    return reported(roll_up(banded, keys), keys, SALES)
 
 
 def weather_sales_summary(
-    sales: DataFrame, weather: DataFrame, day: str = "festival_date", unknown_label: str | None = None
+    sales: DataFrame,
+    weather: DataFrame,
+    day: str = "festival_date",
+    unknown_label: str | None = None,
+    minor_digits: int | None = None,
 ) -> DataFrame:
     """Totals per city, day and weather bands. Sales without weather fall in the last bands, without rain."""
-    return weather_sales_from_days(sales_days_with_weather(sales, weather, day), unknown_label)
+    days = sales_days_with_weather(sales, weather, day, minor_digits)
+    return weather_sales_from_days(days, unknown_label)
 
 
 def unmatched_report(days: DataFrame, threshold: float = UNMATCHED_ALARM) -> DataFrame:

@@ -15,7 +15,7 @@ from marigold.operators import explore
 from marigold.operators.checks import MissingColumns, require
 from marigold.operators.enrich import enrich, match_report, unmatched_sample
 from marigold.operators.ranking import collect_top, top_items, top_label
-from marigold.operators.summarize import Measures, preaggregate, reported, roll_up, summarize
+from marigold.operators.summarize import Measures, preaggregate, reported, roll_up, summarize, totals
 from marigold.plans import masters, summaries
 
 SALES = (
@@ -132,7 +132,7 @@ def test_null_measures_rank_last(spark):
     assert values(top_items(df, ["g"], "i", "m", 1), "i") == ["b"]
     nested = collect_top(top_items(df, ["g"], "i", "m", 5), ["g"], "i", "total", "top", "m").first()
     assert [(x.i, x.m) for x in nested.top] == [("b", 1), ("a", None)]
-    assert values(top_label(df, ["g"], "i", "m", "best"), "best") == ["b"]
+    assert values(top_label(totals(df, ["g", "i"], "m", "total"), ["g"], "i", "total", "best"), "best") == ["b"]
 
 
 # --- days, zones and keys ----------------------------------------------------------------------------
@@ -197,7 +197,7 @@ def test_roll_up_equals_direct_summary(spark):
     df = spark.createDataFrame(rows, "k string, fine int, m decimal(18,2), x double")
     measures = Measures(sums={"s": "m", "sx": "x"}, means={"mean": "x", "mm": "m"}, rows="n")
     direct = summarize(df, ["k"], measures).collect()
-    two_steps = reported(roll_up(preaggregate(df, ["k", "fine"], measures), ["k"], measures), ["k"], measures).collect()
+    two_steps = reported(roll_up(preaggregate(df, ["k", "fine"], measures), ["k"]), ["k"], measures).collect()
     assert direct == two_steps
     assert direct[0].asDict() == {"k": "a", "s": 780.0, "sx": 600.0, "n": 40, "mean": 20.0, "mm": 19.5}
 
@@ -213,6 +213,30 @@ def test_decimal_totals_are_exact(spark):
     assert summarize(df, ["k"], Measures(sums={"s": "m"})).first().s == 1.0
 
 
+@pytest.mark.parametrize("kind", ["decimal(18,2)", "decimal(18,6)", "decimal(18,0)", "decimal(7,2)", "decimal(18,7)", "decimal(30,4)"])
+def test_every_decimal_adds_up_exactly(spark, kind):
+    precision, scale = map(int, kind[8:-1].split(","))
+    top = Decimal(10**min(precision, 24) - 1).scaleb(-scale)
+    cases = [top, -top, top, Decimal(1).scaleb(-scale), Decimal(-1).scaleb(-scale), Decimal(0), -top / 3, top / 7]
+    cases = [c.quantize(Decimal(1).scaleb(-scale)) for c in cases] * 5 + [None]
+    df = spark.createDataFrame([("a", c) for c in cases], f"k string, m {kind}").repartition(3)
+    expected = sum(c for c in cases if c is not None)
+    total = totals(df, ["k"], "m", "t").first().t
+    assert total == expected
+    assert summarize(df, ["k"], Measures(means={"mean": "m"})).first().mean == float(expected) / 40
+
+
+def test_declared_digits_make_double_sums_exact(spark):
+    rows = [("a", x / 100) for x in range(-1000, 100_000, 7)] + [("b", None), ("c", 0.1), ("c", 0.2)]
+    df = spark.createDataFrame(rows, "k string, x double").repartition(5)
+    got = {r.k: r.t for r in totals(df, ["k"], "x", "t", minor_digits=2).collect()}
+    assert got == {"a": Decimal(sum(range(-1000, 100_000, 7))).scaleb(-2), "b": None, "c": Decimal("0.30")}
+    with pytest.raises(ValueError):
+        totals(df, ["k"], "x", "t", minor_digits=9)
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        totals(df.select("k", F.lit(float("nan")).alias("x")), ["k"], "x", "t", minor_digits=2).collect()
+
+
 def test_weather_day_rolls_up_readings(spark):
     rows = [("Agra", "2015-01-01 00:00:00", 10.0, 40.0, 0.0), ("Agra", "2015-01-01 23:00:00", 20.0, None, 0.5), ("Agra", "2015-01-02 00:00:00", None, None, None)]
     df = spark.createDataFrame(rows, "city string, date string, temperature_2m double, relative_humidity_2m double, precipitation double")

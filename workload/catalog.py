@@ -12,7 +12,7 @@ from marigold.operators import explore
 from marigold.operators.checks import require
 from marigold.operators.enrich import MATCHED, enrich
 from marigold.operators.ranking import collect_top, top_items, top_label
-from marigold.operators.summarize import Measures, summarize
+from marigold.operators.summarize import Measures, summarize, totals
 from marigold.plans import masters, summaries
 from marigold.sources.files import chosen_paths, keep_listed, list_files, match_names, with_file_key
 from marigold.sources.schemas import weather as weather_schema
@@ -20,7 +20,7 @@ from marigold.sources.sinks import export_csv as write_csv, write_parquet, write
 from marigold.sources.tables import read_csv, read_parquet, uri
 from marigold.staging import scratch_path
 
-from workload.star import readings, sales, table
+from workload.star import MONEY_DIGITS, READING_DIGITS, readings, sales, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,14 +66,13 @@ def _city_files(spark: SparkSession, sf_dir: str) -> str:
 def scan_multi_file_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan = read_csv(spark, uri(_city_files(spark, sf_dir), "*/*.csv"), weather_schema())
     keyed = with_file_key(scan, "city", CITY_FOLDER)
-    exact = keyed.withColumn("precipitation", F.col("precipitation").cast("decimal(18,2)"))
-    return summarize(exact, ["city"], Measures(sums={"total_precip_mm": "precipitation"}, rows="readings"))
+    measures = Measures(sums={"total_precip_mm": "precipitation"}, rows="readings", minor_digits=READING_DIGITS)
+    return summarize(keyed, ["city"], measures)
 
 
 def weather_daily_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     scan = read_csv(spark, uri(_city_files(spark, sf_dir), "*/*.csv"), weather_schema())
-    exact = {name: F.col(name).cast("decimal(19,3)") for name in ("temperature_2m", "precipitation")}
-    return masters.weather_daily(with_file_key(scan, "city", CITY_FOLDER).withColumns(exact), "UTC")
+    return masters.weather_daily(with_file_key(scan, "city", CITY_FOLDER), minor_digits=READING_DIGITS)
 
 
 def scan_tables_by_file_name(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +126,7 @@ def parquet_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame
     path = scratch_path(spark, "sales")
     write_parquet(rows, path, ["year", "month"])
     back = read_parquet(spark, path)
-    return back.select("product_id", "festival_date", "year", "month", "units_sold", F.col("revenue_INR").cast("double").alias("revenue"))
+    return back.select("product_id", "festival_date", "year", "month", "units_sold", F.col("revenue_INR").alias("revenue"))
 
 
 def parquet_state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,13 +162,13 @@ def festival_sales_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masters.weather_daily(readings(spark, sf_dir))
+    return masters.weather_daily(readings(spark, sf_dir), minor_digits=READING_DIGITS)
 
 
 def require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read and written, counted by the one write of a checked table."""
     rows = sales(spark, sf_dir, "festival_date", *summaries.DAILY_KPIS.inputs)
-    daily = summaries.overall_kpis(require(rows, ["festival_date", *SALE_INPUTS], "sales"))
+    daily = summaries.overall_kpis(require(rows, ["festival_date", *SALE_INPUTS], "sales"), MONEY_DIGITS)
     path = scratch_path(spark, "kpis")
     written = write_parquet(daily, path, ["year", "month"], metrics={"input_rows": F.sum("total_tx")})
     report = [("overall_kpis", written.metrics["input_rows"], written.rows)]
@@ -180,12 +179,12 @@ def require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def overall_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summaries.overall_kpis(sales(spark, sf_dir, "festival_date", *summaries.DAILY_KPIS.inputs))
+    return summaries.overall_kpis(sales(spark, sf_dir, "festival_date", *summaries.DAILY_KPIS.inputs), MONEY_DIGITS)
 
 
 def _festival_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales(spark, sf_dir, *FESTIVAL_YEAR, "product_category", "product", *SALE_INPUTS)
-    return summaries.festival_category_summary(rows)
+    return summaries.festival_category_summary(rows, minor_digits=MONEY_DIGITS)
 
 
 def festival_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,7 +193,7 @@ def festival_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _top_products(spark: SparkSession, sf_dir: str, measure: str, ties: str = "all") -> DataFrame:
     rows = sales(spark, sf_dir, *FESTIVAL_YEAR, "product", measure)
-    return top_items(rows, FESTIVAL_YEAR, "product", measure, summaries.TOP_PRODUCTS, ties)
+    return top_items(rows, FESTIVAL_YEAR, "product", measure, summaries.TOP_PRODUCTS, ties, minor_digits=MONEY_DIGITS)
 
 
 def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,17 +216,18 @@ def top_products_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geo_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales(spark, sf_dir, *CITY_YEAR, "latitude", "longitude", "product_category", *SALE_INPUTS)
-    return summaries.geo_summary(rows)
+    return summaries.geo_summary(rows, minor_digits=MONEY_DIGITS)
 
 
 def top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales(spark, sf_dir, *CITY_YEAR, "product_category", "revenue_INR")
-    return top_label(rows, CITY_YEAR, "product_category", "revenue_INR", "top_category")
+    per_category = totals(rows, [*CITY_YEAR, "product_category"], "revenue_INR", "revenue", MONEY_DIGITS)
+    return top_label(per_category, CITY_YEAR, "product_category", "revenue", "top_category")
 
 
 def payment_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales(spark, sf_dir, "vendor_type", "payment_methods", "year", *summaries.VENDOR.inputs)
-    return summaries.payment_vendor_summary(rows)
+    return summaries.payment_vendor_summary(rows, MONEY_DIGITS)
 
 
 # --- sales and weather -------------------------------------------------------------------------------
@@ -235,7 +235,7 @@ def payment_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales(spark, sf_dir, "city", "sale_day", *SALE_INPUTS)
-    return summaries.sales_days_with_weather(rows, weather_daily(spark, sf_dir), "sale_day")
+    return summaries.sales_days_with_weather(rows, weather_daily(spark, sf_dir), "sale_day", MONEY_DIGITS)
 
 
 def weather_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,11 +297,12 @@ def metric_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bar_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales(spark, sf_dir, "product_category", "festival", "revenue_INR")
-    return explore.bar_data(rows, "product_category", "revenue_INR", "festival")
+    return explore.bar_data(rows, "product_category", "revenue_INR", "festival", MONEY_DIGITS)
 
 
 def share_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.share_data(sales(spark, sf_dir, "vendor_type", "revenue_INR"), "vendor_type", "revenue_INR")
+    rows = sales(spark, sf_dir, "vendor_type", "revenue_INR")
+    return explore.share_data(rows, "vendor_type", "revenue_INR", minor_digits=MONEY_DIGITS)
 
 
 def line_data(spark: SparkSession, sf_dir: str) -> DataFrame:

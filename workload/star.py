@@ -9,7 +9,9 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-MONEY = "decimal(18,2)"
+# The star keeps money as doubles with two decimal digits; readings have up to three.
+MONEY_DIGITS = 2
+READING_DIGITS = 3
 
 
 @lru_cache
@@ -53,19 +55,19 @@ def _part_columns() -> dict:
     return {
         "product": F.col("p_name"),
         "product_category": F.col("p_type"),
-        "price_INR": F.col("p_retailprice").cast(MONEY),
+        "price_INR": F.col("p_retailprice"),
     }
 
 
 def _supplier_columns() -> dict:
-    return {"seller_rating": F.col("s_acctbal").cast(MONEY)}
+    return {"seller_rating": F.col("s_acctbal")}
 
 
 def _line_columns() -> dict:
     return {
         "product_id": F.col("l_partkey"),
         "payment_methods": F.col("l_returnflag"),
-        "revenue_INR": F.col("l_extendedprice").cast(MONEY),
+        "revenue_INR": F.col("l_extendedprice"),
         "units_sold": F.col("l_quantity").cast("int"),
         "discount_pct": F.floor(F.col("l_discount") * 100 + 0.5).cast("int"),
     }
@@ -117,15 +119,15 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather readings made of events: city, time and three measures. Three cities have none."""
-    value = F.col("value").cast(MONEY)
+    hundredths = F.floor(F.col("value") * 100 + 0.5)
     return (
         table(spark, sf_dir, "events")
         .filter(~(F.col("user_id") % 25).isin(3, 7, 11))
         .select(
             F.concat(F.lit("NATION_"), (F.col("user_id") % 25).cast("string")).alias("city"),
             F.col("ts").alias("date"),
-            (value / 2).cast("decimal(19,3)").alias("temperature_2m"),
+            (hundredths / 200).alias("temperature_2m"),
             (20 + (F.col("user_id") * 7 + F.col("event_id")) % 61).alias("relative_humidity_2m"),
-            F.when(F.col("event_type") == "error", value).otherwise(F.lit(0).cast(MONEY)).alias("precipitation"),
+            F.when(F.col("event_type") == "error", hundredths / 100).otherwise(F.lit(0.0)).alias("precipitation"),
         )
     )
