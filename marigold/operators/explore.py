@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from marigold.functions.text import RUPEE, items_as_text, label_of, two_decimals, whole_number
 from marigold.operators.checks import date_like_columns, numeric_columns
@@ -42,6 +42,11 @@ def preview(df: DataFrame, n: int = 500) -> DataFrame:
     return readable(df.limit(n))
 
 
+def first_rows(df: DataFrame, n: int = 3) -> list[Row]:
+    """The first ``n`` rows on the driver. Over a plain scan Spark opens one partition and stops there."""
+    return df.limit(n).collect()
+
+
 def describe_columns(df: DataFrame) -> list[tuple[int, str, str]]:
     """(position, name, type) of every column; taken from the schema, no job runs."""
     return [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)]

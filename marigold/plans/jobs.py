@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from marigold.functions.calendar import DAY_FORMAT
 from marigold.functions.text import FILE_STEM, FILE_STEM_ANY_SEPARATOR
 from marigold.operators.checks import unparsed
-from marigold.operators.explore import describe_columns
+from marigold.operators.explore import describe_columns, first_rows
 from marigold.plans import masters, summaries
 from marigold.sources import schemas
 from marigold.sources.files import choose_files, chosen_paths, with_file_key
@@ -175,12 +175,17 @@ def run_weather_sales_summary(spark: SparkSession, layout: Layout) -> JobReport:
     return JobReport(job, "done", sales.count(), written, findings)
 
 
-def csv_to_parquet(spark: SparkSession, layout: Layout, source: str, target: str, shown: int = 5) -> JobReport:
-    """Any CSV file with a header as Parquet, with its schema, its first rows and its row count."""
-    raw = if_exists(lambda: read_csv(spark, layout.raw(source), infer=True))
+def csv_to_parquet(
+    spark: SparkSession, layout: Layout, source: str, target: str, schema: T.StructType | None = None, shown: int = 5
+) -> JobReport:
+    """Any CSV file with a header as Parquet, with its schema, its first rows and its row count.
+
+    Types are inferred, at the price of a pass over the data, unless a schema is given.
+    """
+    raw = if_exists(lambda: read_csv(spark, layout.raw(source), schema, infer=schema is None))
     if raw is None:
         return JobReport("csv_to_parquet", "missing")
-    first = [row.asDict() for row in raw.limit(shown).collect()]
+    first = [row.asDict() for row in first_rows(raw, shown)]
     written = write_parquet(raw, layout.raw(target))
     return JobReport("csv_to_parquet", "done", written.rows, written, {"first_rows": first})
 
@@ -189,14 +194,13 @@ def inspect(spark: SparkSession, layout: Layout, *sources: str, shown: int = 3)
     """Columns and first rows of raw files; a missing file is reported and the others go on."""
     reports = []
     for source in sources:
-        raw = if_exists(lambda: read_csv(spark, layout.raw(source), infer=True))
+        raw = if_exists(lambda: read_csv(spark, layout.raw(source)))
         if raw is None:
             reports.append(JobReport("inspect", "missing", findings={"source": source}))
             continue
-        rows = [row.asDict() for row in raw.limit(shown).collect()]
-        reports.append(
-            JobReport("inspect", "done", findings={"source": source, "columns": describe_columns(raw), "first_rows": rows})
-        )
+        rows = [row.asDict() for row in first_rows(raw, shown)]
+        found = {"source": source, "columns": describe_columns(raw), "first_rows": rows}
+        reports.append(JobReport("inspect", "done", findings=found))
     return reports
 
 

@@ -27,6 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 SALE_INPUTS = ("revenue_INR", "units_sold", "price_INR")
 FESTIVAL_YEAR = ["festival", "year"]
 CITY_YEAR = ["state", "city", "year"]
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+    "pages", "benchmark", "labels", "conversations",
+)
 CORRELATED = ("revenue_INR", "units_sold", "price_INR", "discount_pct", "seller_rating")
 
 # Where the key sits in a family of files that Spark wrote, one folder per city.
@@ -50,9 +54,8 @@ def csv_to_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_tax")
     raw, target = scratch_path(spark, "lines.csv"), scratch_path(spark, "lines")
     write_csv(lines, raw)
-    write_parquet(read_csv(spark, raw, infer=True), target)
-    back = read_parquet(spark, target)
-    return back.select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"), "l_linenumber", "l_returnflag", "l_tax")
+    write_parquet(read_csv(spark, raw, lines.schema), target)
+    return read_parquet(spark, target)
 
 
 def _city_files(spark: SparkSession, sf_dir: str) -> str:
@@ -275,15 +278,17 @@ def band_humidity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inspect_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column list of the sales rows with the text of the first three values of each."""
-    rows = sales(spark, sf_dir)
-    first = rows.limit(3).select(*[F.col(name).cast("string").alias(name) for name in rows.columns])
-    values = first.agg(*[F.collect_list(name).alias(name) for name in first.columns])
-    shown = [
-        F.struct(F.lit(i).alias("position"), F.lit(name).alias("column_name"), F.lit(kind).alias("column_type"), F.array_join(name, ", ").alias("first_values"))
-        for i, name, kind in explore.describe_columns(rows)
-    ]
-    return values.select(F.inline(F.array(*shown)))
+    """Columns and types of every table of the folder, with the first three values of each column."""
+    report = []
+    for name in TABLES:
+        rows = table(spark, sf_dir, name)
+        first = explore.first_rows(rows, 3)
+        report += [
+            (name, position, column, kind, [None if row[column] is None else str(row[column]) for row in first])
+            for position, column, kind in explore.describe_columns(rows)
+        ]
+    columns = "table_name string, position int, column_name string, column_type string, first_values array<string>"
+    return spark.createDataFrame(report, columns)
 
 
 def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
