@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
@@ -15,6 +16,9 @@ from marigold.operators.summarize import totals
 MONEY_FRAGMENT = "revenue"
 SUMMED_FRAGMENTS = ("units", "products", "sold")
 
+# How many aggregates one pass of ``corr_matrix`` computes.
+AGGREGATES_PER_PASS = 20
+
 
 def _is_item_list(kind: T.DataType) -> bool:
     return (
@@ -143,30 +147,41 @@ def scatter_data(df: DataFrame, x: str, y: str, color: str | None = None) -> Dat
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns as rows (x, y, r), in both orders and with itself.
 
-    Each pair uses the rows where both are present. A column that does not vary gives null. One aggregate
-    over the table serves all pairs; symmetric pairs are computed once.
+    Each pair uses the rows where both are present; NaN counts as missing. A column that does not vary gives
+    null, where Spark's own ``corr`` would fail.
+
+    Up to four columns take one pass. Beyond ``AGGREGATES_PER_PASS`` the method that Spark generates for the
+    aggregate outgrows what the JVM compiles and slows down fivefold, so more columns are spread over several
+    passes, each of which reads only the columns it uses.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     if len(names) < 2:
         raise ValueError("a correlation matrix needs two or more numeric columns")
-    wide = df.select(*[F.col(name).cast("double").alias(name) for name in names])
-    aggregates = [F.stddev_pop(name).alias(f"__sd{i}") for i, name in enumerate(names)]
-    for (i, a), (j, b) in combinations(enumerate(names), 2):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        aggregates += [
-            F.covar_pop(a, b).alias(f"__cov{i}_{j}"),
-            F.stddev_pop(F.when(both, F.col(a))).alias(f"__sd{i}_{j}"),
-            F.stddev_pop(F.when(both, F.col(b))).alias(f"__sd{j}_{i}"),
-        ]
+    nothing = F.lit(None).cast("double")
+    wide = df.select(*[F.nanvl(F.col(name).cast("double"), nothing).alias(name) for name in names])
 
     def cell(x: str, y: str, r: Column) -> Column:
         return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r"))
 
-    cells = [cell(name, name, F.when(F.col(f"__sd{i}") > 0, F.lit(1.0))) for i, name in enumerate(names)]
-    for (i, a), (j, b) in combinations(enumerate(names), 2):
-        r = F.try_divide(F.col(f"__cov{i}_{j}"), F.col(f"__sd{i}_{j}") * F.col(f"__sd{j}_{i}"))
-        cells += [cell(a, b, r), cell(b, a, r)]
-    return wide.agg(*aggregates).select(F.inline(F.array(*cells)))
+    parts = []
+    for i, name in enumerate(names):
+        spread = f"__sd{i}"
+        parts.append(([F.stddev_pop(name).alias(spread)], [cell(name, name, F.when(F.col(spread) > 0, F.lit(1.0)))]))
+    for (i, x), (j, y) in combinations(enumerate(names), 2):
+        r2, sxy = f"__r2_{i}_{j}", f"__sxy_{i}_{j}"
+        # A perfect fit without covariance is that of a constant; a constant x already has a null fit.
+        constant = (F.col(sxy) == 0) & (F.col(r2) > 0)
+        r = F.when(constant, nothing).otherwise(F.signum(sxy) * F.sqrt(r2))
+        parts.append(([F.regr_r2(y, x).alias(r2), F.regr_sxy(y, x).alias(sxy)], [cell(x, y, r), cell(y, x, r)]))
+
+    passes: list[tuple[list[Column], list[Column]]] = [([], [])]
+    for aggregates, cells in reversed(parts):
+        if len(passes[-1][0]) + len(aggregates) > AGGREGATES_PER_PASS:
+            passes.append(([], []))
+        passes[-1][0].extend(aggregates)
+        passes[-1][1].extend(cells)
+    matrix = [wide.agg(*aggregates).select(F.inline(F.array(*cells))) for aggregates, cells in passes]
+    return reduce(DataFrame.unionAll, matrix)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -345,10 +345,23 @@ def test_correlation_of_constant_and_holey_columns(spark):
     assert r["a", "b"] == r["b", "a"] == pytest.approx(0.99339927)
     assert r["a", "d"] == pytest.approx(1.0)
     assert r["b", "d"] is None
+    opposite = spark.createDataFrame([(1.0, -1.0, 0.1), (2.0, -2.0, 0.1), (float("nan"), 5.0, 0.1), (3.0, -3.0, 0.1)], "a double, b double, c double")
+    r = {(row.x, row.y): row.r for row in explore.corr_matrix(opposite.repartition(4)).collect()}
+    assert r["b", "a"] == pytest.approx(-1.0) and r["a", "c"] is None and r["c", "b"] is None
     with pytest.raises(ValueError):
         explore.corr_matrix(df.select("a", "name"))
 
 
+def test_many_columns_take_several_passes_with_the_same_result(spark):
+    columns = [f"c{i}" for i in range(8)]
+    df = spark.range(500).select(*[F.pmod(F.hash("id", F.lit(i)), F.lit(97 + i)).alias(c) for i, c in enumerate(columns)])
+    r = {(row.x, row.y): row.r for row in explore.corr_matrix(df).collect()}
+    expected = df.toPandas().corr()
+    assert len(r) == 64
+    for (x, y), value in r.items():
+        assert value == pytest.approx(expected.loc[x, y], abs=1e-12)
+
+
 def test_cards_choose_sum_or_mean_by_name(spark):
     df = spark.createDataFrame([("x", 1000.0, 3, 1.0, 2.0, 9), ("y", 234567.5, 4, 2.005, None, 9)],
                                "name string, total_revenue double, total_units int, avg_price double, total_tx double, fifth int")
