@@ -1,7 +1,7 @@
 """Exact sums at the price of integer sums.
 
 A decimal sum is wider than 18 digits, so its aggregation buffer is a byte string that is decoded and encoded
-again for every row; measured here, that costs about four times as much as what this module does instead. A
+again for every row; measured, that costs about three times as much as what this module does instead. A
 double sum is cheap but depends on the order of addition, and so would every ranking built on it.
 
 A value with a known number of decimal digits is a whole number of minor units. These are split into a high and
