@@ -1,4 +1,5 @@
-"""``spark-submit`` entry: ``python -m marigold <job> --base <URI> [--source ...] [--names ...] [--zone ...]``.
+"""Command line: ``python -m marigold <job> --base <URI> [--source ...] [--names ...] [--zone ...]``, or this file
+submitted with the zipped package as ``--py-files``.
 
 Cluster, storage credentials and shuffle settings belong to the submit command, not to this code.
 """
