@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marigold.llm import quality_rules as rules
+from marigold.llm import mixing, quality_rules as rules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -37,6 +37,54 @@ failed as (
 select *, not base_failed and clean_chars >= {1 - rules.MAX_LOST} * word_chars as kept from failed
 """
 
+MIX = rf"""
+with d as (
+  select doc_id, source, len({WORDS}) as size, row_number() over () as r,
+         (cast('0x' || substr(md5('17|' || coalesce(cast(doc_id as varchar), '') || '|' || md5(coalesce(text, ''))), 1, 13) as bigint) + 0.5)
+           / 4503599627370496.0::double as u
+  from documents),
+names as (select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) - 1 as place from d group by source),
+weighed as (select *, [{", ".join(map(str, mixing.WEIGHTS))}][place % {len(mixing.WEIGHTS)} + 1] as weight, {mixing.CAP}::double * source_size as most from names),
+levels as (
+  select *, most / weight as ratio,
+         ({mixing.BUDGET}::double * (select sum(source_size) from names)
+          - coalesce(sum(most) over (order by most / weight, source nulls last rows between unbounded preceding and 1 preceding), 0))
+         / sum(weight) over (order by most / weight, source nulls last rows between current row and unbounded following) as level
+  from weighed),
+level as (select level as l from levels where level <= ratio order by ratio, source nulls last limit 1),
+targets as (select source, source_size, case when level > ratio then most else least(most, weight * (select l from level)) end as target from levels),
+whole as (select *, case when source_size > 0 then cast(floor(target / source_size) as bigint) else 0 end as copies from targets),
+rests as (select *, target - copies * source_size as rest from whole),
+sizes as (select source, size, count(*) as n from d where size > 0 group by source, size),
+sums as (
+  select *, cast(sum(n * size * size) over (partition by source order by size) as double) as squares,
+         cast(coalesce(sum(n * size) over (partition by source order by size rows between 1 following and unbounded following), 0) as double) as larger
+  from sizes),
+slopes as (
+  select s.source, arg_max((rest - larger) / squares, size) as slope
+  from sums s join rests r on s.source is not distinct from r.source where (rest - larger) / squares * size <= 1 group by s.source),
+ranked as (
+  select d.*, source_size, target, copies, rest, coalesce(slope, 0) * size as odds
+  from d join rests r on d.source is not distinct from r.source left join slopes s on d.source is not distinct from s.source),
+ordered as (
+  select *, case when odds >= 1 then 0 when odds > 0 then (u / (1 - u)) / (odds / (1 - odds)) end as rank from ranked),
+summed as (
+  select *, case when rank is not null then sum(size) over (partition by source, rank is null order by rank, r) end as upto from ordered),
+chosen as (select *, coalesce(upto <= rest, false) and rest > 0 as once from summed),
+missing as (select source, any_value(rest) - coalesce(sum(size) filter (once), 0) as m from chosen group by source),
+extra as (
+  select c.source, arg_min(r, row(abs(size - m), rank, r)) as extra
+  from chosen c join missing using (source) where rank is not null and not once and abs(size - m) < m group by c.source
+  union all
+  select null, arg_min(r, row(abs(size - m), rank, r)) from chosen c join missing x on c.source is null and x.source is null
+  where rank is not null and not once and abs(size - m) < m),
+final as (
+  select c.*, copies + case when once or coalesce(r = extra, false) then 1 else 0 end as times
+  from chosen c left join extra e on c.source is not distinct from e.source)
+select doc_id, size, source_size, target, times as copies, times * size as taken from final
+"""
+
 ORACLES = {
+    "op6_mix_sources": MIX,
     "op10_quality_rules": QUALITY_RULES,
 }
