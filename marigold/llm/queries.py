@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marigold.llm import mixing, quality_rules
+from marigold.llm import mixing, quality_rules, token_files
+from marigold.staging import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write(_table(spark, sf_dir, "documents"), path)
+    return token_files.read(spark, path)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allocate(_table(spark, sf_dir, "documents"))
 
@@ -20,6 +27,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_token_files": op4_token_files,
     "op6_mix_sources": op6_mix_sources,
     "op10_quality_rules": op10_quality_rules,
 }
