@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marigold.llm import mixing, quality_rules, token_files
+from marigold.llm import mixing, packing, quality_rules, token_files
 from marigold.staging import scratch_path
 
 
@@ -22,6 +22,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allocate(_table(spark, sf_dir, "documents"))
 
 
+def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -29,5 +33,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_token_files": op4_token_files,
     "op6_mix_sources": op6_mix_sources,
+    "op7_pack": op7_pack,
     "op10_quality_rules": op10_quality_rules,
 }
