@@ -84,7 +84,20 @@ final as (
 select doc_id, size, source_size, target, times as copies, times * size as taken from final
 """
 
+EMBEDDING_DEDUP = """
+with recursive v as (
+  select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+  where list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x))) and list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+link as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach as (select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join link l on r.b = l.a),
+least as (select a, min(b) as component_id from reach group by a),
+n as (select a, count(*) as n from link group by a)
+select e.vec_id, coalesce(n.n, 0) as n_links, component_id, e.vec_id = component_id as kept
+from embeddings e join least on least.a = e.vec_id left join n on n.a = e.vec_id
+"""
+
 ORACLES = {
+    "op1_embedding_dedup": EMBEDDING_DEDUP,
     "op6_mix_sources": MIX,
     "op10_quality_rules": QUALITY_RULES,
 }

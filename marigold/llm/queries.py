@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marigold.llm import mixing, packing, quality_rules, token_files
+from marigold.llm import embedding_dedup, mixing, packing, quality_rules, token_files
 from marigold.staging import scratch_path
 
 
@@ -12,6 +12,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicate(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write(_table(spark, sf_dir, "documents"), path)
@@ -31,6 +35,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op4_token_files": op4_token_files,
     "op6_mix_sources": op6_mix_sources,
     "op7_pack": op7_pack,
