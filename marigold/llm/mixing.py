@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marigold.llm.text import column, count_words, fresh
-from marigold.staging import materialise, stage
+from marigold.staging import stage
 
 BINS = 4096
 WEIGHTS = (5, 2, 1)
@@ -100,7 +100,7 @@ def allocate(
         ),
         "mix",
     )
-    plan = materialise(_inclusion(facts, source_targets(facts, weights, budget, cap)))
+    plan = stage(_inclusion(facts, source_targets(facts, weights, budget, cap)), "sources")
     names = plan.select(F.col("source").alias("name"), "source_size", "target", "copies", "rest", "slope")
     ranked = facts.join(names, F.col("source").eqNullSafe(F.col("name")))
     odds = F.col("slope") * F.col("size")
@@ -123,7 +123,7 @@ def allocate(
         F.coalesce(F.max(F.when(fits, F.col("upto"))), F.first("edge_before")).alias("words"),
         F.first("edge_bin").alias("edge_bin"),
     )
-    ends = materialise(ends.withColumnRenamed("name", "at"))
+    ends = stage(ends.withColumnRenamed("name", "at"), "ends")
 
     drawn = drawn.join(ends, F.col("name").eqNullSafe(F.col("at")), "left")
     lower = F.col("edge_bin").isNull() | (F.col("bin") < F.col("edge_bin"))
