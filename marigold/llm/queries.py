@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marigold.llm import embedding_dedup, mixing, packing, quality_rules, token_files
+from marigold.llm import embedding_dedup, mixing, packing, quality_rules, substring_dedup, token_files
 from marigold.staging import scratch_path
 
 
@@ -30,6 +30,10 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicate(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -39,5 +43,6 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op6_mix_sources": op6_mix_sources,
     "op7_pack": op7_pack,
+    "op8_substring_dedup": op8_substring_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
