@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marigold.llm import mixing, quality_rules as rules
+from marigold.llm import line_dedup, mixing, quality_rules as rules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -96,7 +96,24 @@ select e.vec_id, coalesce(n.n, 0) as n_links, component_id, e.vec_id = component
 from embeddings e join least on least.a = e.vec_id left join n on n.a = e.vec_id
 """
 
+BLANKS = "chr(32) || chr(9) || chr(13) || chr(11) || chr(12)"
+
+LINE_DEDUP = rf"""
+with d as (select doc_id, coalesce(source, chr(0)) as site, text, string_split(text, chr(10)) as lines from documents),
+line as (select doc_id, site, i, lines[i] as l from (select doc_id, site, lines, unnest(range(1, len(lines) + 1)) as i from d)),
+judged as (
+  select doc_id, site, i, trim(l, {BLANKS}) as l from line
+  where regexp_matches(l, '(?:[^ 	-]+[ 	-]+){{{line_dedup.MIN_WORDS - 1}}}[^ 	-]')),
+shared as (select l, min(row(doc_id, i)) as first from judged group by l having count(distinct site) >= {line_dedup.MIN_SITES}),
+gone as (select doc_id, list(i) as gone from judged join shared using (l) where row(doc_id, i) <> first group by doc_id)
+select doc_id, case when length(text) > 0 then len(lines) else 0 end as n_lines, coalesce(len(gone), 0) as n_removed,
+       md5(case when gone is null then text
+                else array_to_string(list_filter(lines, lambda x, i: not list_contains(gone, i)), chr(10)) end) as text_md5
+from d left join gone using (doc_id)
+"""
+
 ORACLES = {
+    "op9_line_dedup": LINE_DEDUP,
     "op1_embedding_dedup": EMBEDDING_DEDUP,
     "op6_mix_sources": MIX,
     "op10_quality_rules": QUALITY_RULES,

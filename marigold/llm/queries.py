@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marigold.llm import embedding_dedup, minhash, mixing, packing, quality_rules, substring_dedup, token_files
+from marigold.llm import embedding_dedup, line_dedup, minhash, mixing, packing, quality_rules, substring_dedup, token_files
 from marigold.staging import scratch_path
 
 
@@ -39,6 +39,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.deduplicate(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.clean(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents")).drop("clean_text")
 
@@ -50,5 +55,6 @@ QUERIES = {
     "op6_mix_sources": op6_mix_sources,
     "op7_pack": op7_pack,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
