@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marigold.llm import embedding_dedup, line_dedup, minhash, mixing, packing, quality_rules, substring_dedup, token_files
+from marigold.llm import embedding_dedup, line_dedup, minhash, mixing, packing, quality_model, quality_rules, substring_dedup, token_files
 from marigold.staging import scratch_path
 
 
@@ -16,6 +16,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.deduplicate(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.group(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
@@ -50,6 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_token_files": op4_token_files,
     "op6_mix_sources": op6_mix_sources,
