@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marigold.llm import embedding_dedup, line_dedup, minhash, mixing, packing, quality_model, quality_rules, substring_dedup, token_files
+from marigold.llm import embedding_dedup, line_dedup, minhash, mixing, packing, quality_model, quality_rules, substring_dedup, token_counts, token_files
 from marigold.staging import scratch_path
 
 
@@ -31,6 +31,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path)
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allocate(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op4_token_files": op4_token_files,
+    "op5_token_counts": op5_token_counts,
     "op6_mix_sources": op6_mix_sources,
     "op7_pack": op7_pack,
     "op8_substring_dedup": op8_substring_dedup,

@@ -25,7 +25,7 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if it is visible, else the next free one from 256 on."""
     visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     hidden = [b for b in range(256) if b not in visible]
@@ -42,7 +42,7 @@ class Encoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.letters = dict(enumerate(_byte_letters()))
+        self.letters = dict(enumerate(byte_letters()))
         self.remembered = remembered
 
     def __missing__(self, chunk: str) -> bytes:
