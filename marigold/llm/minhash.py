@@ -1,11 +1,11 @@
 """Near-duplicate documents by b-bit MinHash.
 
-A document's set is that of its different word shingles. ``BANDS * ROWS`` minima are taken over random multipliers;
-each band of full minima is a bucket. Of every minimum only the low ``BITS`` bits are kept, packed into a signature:
+A document's set is that of its different word shingles. ``MINIMA`` minima are taken over random multipliers; bands
+of as many full minima as the threshold allows are buckets. Of every minimum only the low ``BITS`` bits are kept, packed into a signature:
 where a share ``m`` of them agree, similarity is estimated as ``(m - c) / (1 - c)``, ``c = 2**-BITS`` being the
 agreement by chance. Pairs whose estimate is five standard deviations below the threshold are dismissed, all others are
-confirmed on the full sets. A pair at the threshold misses all buckets with a chance of ``(1 - t**ROWS)**BANDS``
-(4e-5 at 0.85), more similar ones less.
+confirmed on the full sets. A pair at the threshold misses all buckets with a chance of ``MISS`` at most, more
+similar ones less.
 
 Documents with equal sets are one node. All nodes that share a bucket with the same least node form a group; every
 pair of one bucket is in one group. Groups are dealt into blocks of a bounded number of nodes and compared block by
@@ -25,20 +25,20 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marigold.llm.components import components
 from marigold.llm.hashing import mix, run_hashes, word_hashes
-from marigold.llm.text import column
+from marigold.llm.text import column, fresh
 from marigold.staging import stage
 
 SHINGLE = 5
 PERCENT = 80
-BANDS = 32
-ROWS = 8
+MINIMA = 256
+MISS = 1e-5
 BITS = 4
 BLOCK = 512
-_MULTIPLIERS = np.random.default_rng(20100426).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_MULTIPLIERS = np.random.default_rng(20100426).integers(0, 2**63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(raw: bytes | None, length: int) -> np.ndarray:
@@ -54,9 +54,17 @@ def minima(members: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(least: np.ndarray) -> np.ndarray:
-    keys = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
+def rows_in_band(percent: int) -> int:
+    """As many minima in a band as let a pair at the threshold miss all bands with a chance of ``MISS`` at most."""
+    t = percent / 100
+    fits = [r for r in range(1, 17) if (1 - t**r) ** (MINIMA // r) <= MISS]
+    return max(fits, default=1)
+
+
+def band_keys(least: np.ndarray, rows: int) -> np.ndarray:
+    bands = MINIMA // rows
+    keys = np.arange(bands, dtype=np.uint64)
+    for row in least[: bands * rows].reshape(bands, rows).T:
         keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + row)
     return keys
 
@@ -78,14 +86,14 @@ def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             folded |= x >> np.uint64(shift)
         differ += np.bitwise_count(folded & lowest)
     chance = 2.0**-BITS
-    return (1 - differ / (BANDS * ROWS) - chance) / (1 - chance)
+    return (1 - differ / MINIMA - chance) / (1 - chance)
 
 
 def least_estimate(percent: int) -> float:
     """Five standard deviations below the threshold."""
     chance, t = 2.0**-BITS, percent / 100
     agree = chance + (1 - chance) * t
-    return t - 5 * math.sqrt(agree * (1 - agree) / (BANDS * ROWS)) / (1 - chance)
+    return t - 5 * math.sqrt(agree * (1 - agree) / MINIMA) / (1 - chance)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -137,7 +145,7 @@ def _documents(df: DataFrame, text: str, doc_id: str) -> DataFrame:
     return df.select(column(df, doc_id).alias("doc_id"), F.xxhash64(body).alias("k2"), body.alias("text"))
 
 
-def _describe(shingle: int) -> Callable:
+def _describe(shingle: int, rows: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, bands, signs = [], [], [], []
@@ -147,7 +155,7 @@ def _describe(shingle: int) -> Callable:
                 if len(members):
                     least = minima(members)
                     digests.append(hashlib.blake2b(members.tobytes(), digest_size=16).digest())
-                    bands.append(band_keys(least).view(np.int64))
+                    bands.append(band_keys(least, rows).view(np.int64))
                     signs.append(signature(least))
                 else:
                     digests.append(None)
@@ -220,7 +228,7 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: in
     kind = dict(docs.dtypes)["doc_id"]
     given = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "k2", "text")
     schema = f"row long, doc_id {kind}, k2 long, n_shingles long, digest binary, bands array<long>, sign binary"
-    rows = stage(given.mapInArrow(_describe(shingle), schema), "signatures")
+    rows = stage(given.mapInArrow(_describe(shingle, rows_in_band(percent)), schema), "signatures")
     classes = rows.filter("digest is not null").groupBy("digest").agg(F.min("row").alias("node"))
     classes = stage(classes, "classes")
     nodes = rows.drop("digest").join(classes.select(F.col("node").alias("row")), "row").withColumnRenamed("row", "node")
@@ -232,3 +240,15 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: in
     groups = members.groupBy("component").agg(F.min(order).alias("least"))
     chosen = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("k2") == F.col("least.k2"))
     return members.join(groups, "component").select("doc_id", "k2", "n_shingles", F.col("least.doc_id").alias("component_id"), chosen.alias("kept"))
+
+
+def deduplicate(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """One row of each group of near-duplicates, with the columns it had; rows without words all stay."""
+    found = group(df, text, doc_id, **options)
+    chosen = found.filter("kept").groupBy("doc_id", "k2").agg(F.max("n_shingles").alias("n"))
+    (whole,) = fresh(df, "whole")
+    rows = df.select(F.struct(*[column(df, c) for c in df.columns]).alias(whole), column(df, doc_id).alias("name"), F.xxhash64(column(df, text)).alias("hash"))
+    rows = rows.join(chosen, (F.col("hash") == F.col("k2")) & F.col("name").eqNullSafe(F.col("doc_id")))
+    again = F.row_number().over(Window.partitionBy("hash", "name").orderBy(F.lit(1)))
+    rows = rows.withColumn("again", again).filter("again = 1 or n = 0")
+    return rows.select(*[F.col(whole).getField(c).alias(c) for c in df.columns])

@@ -151,7 +151,7 @@ def allocate(
 def mix(df: DataFrame, **options) -> DataFrame:
     """The mix itself: each row of ``df`` as often as it is taken, with the columns it had."""
     (whole,) = fresh(df, "whole")
-    packed = df.select(F.struct(*[column(df, c) for c in df.columns]).alias(whole), *[column(df, c) for c in {"doc_id", "text", "source"} if c in df.columns])
+    packed = df.select(F.struct(*[column(df, c) for c in df.columns]).alias(whole), *[column(df, c) for c in ("doc_id", "text", "source")])
     rows = allocate(packed, keep=(whole,), **options).filter("copies > 0")
     rows = rows.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return rows.select(*[F.col(whole).getField(c).alias(c) for c in df.columns])
