@@ -134,7 +134,7 @@ def allocate(
     extra = extra.select(F.col("name").alias("also"), F.col("extra.row").alias("extra_row"))
 
     done = ranked.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS))
-    ends = ends.join(extra, F.col("at").eqNullSafe(F.col("also")), "left").drop("also")
+    ends = stage(ends.join(extra, F.col("at").eqNullSafe(F.col("also")), "left").drop("also"), "cuts")
     done = done.join(ends, F.col("name").eqNullSafe(F.col("at")), "left")
     once = F.col("rank").isNotNull() & (F.col("rest") > 0) & (chosen | F.coalesce(F.col("row") == F.col("extra_row"), F.lit(False)))
     copies = F.col("copies") + F.when(once, F.lit(1)).otherwise(F.lit(0))
