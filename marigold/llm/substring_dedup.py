@@ -6,7 +6,7 @@ other window covers is removed. Overlapping and touching windows merge into maxi
 1. Sieve. Equal windows choose equal anchors: of the runs of ``ANCHOR`` words in a window, the one with the least
    hash. Anchors are about a seventh of all places. An anchor that the corpus has once shows that none of its windows
    repeats. This prunes and never decides.
-2. Windows whose anchor repeats are hashed (two hashes of 64 bits) and counted: the earliest stays.
+2. Windows whose anchor repeats are hashed (96 bits, of two hashes) and counted: the earliest stays.
 
 In both steps each task decides what it can by itself and sends on one row per hash, so that the passage of a third
 of all documents is as many rows as there are tasks. Texts are shuffled once, by document, for both joins.
@@ -76,6 +76,7 @@ def _sieve(window: int, anchor: int) -> Callable:
         twice = count[inverse] > 1
         # A marked place gets a key of its own; the hash itself goes on once.
         own = mix(key + np.arange(len(key), dtype=np.uint64) * np.uint64(2654435761) + np.uint64(k2.view(np.uint64)[0]))
+        first.sort()  # rows of one document stay together, which compresses well
         for rows, keys, marks in ((first, key[first], np.zeros(len(first), bool)), (np.flatnonzero(twice), own[twice], np.ones(int(twice.sum()), bool))):
             yield from _table(["key", "known", "k1", "k2", "place"], [_signed(keys), marks, k1[rows], k2[rows], place[rows]])
 
@@ -98,37 +99,37 @@ def _count(window: int, anchor: int) -> Callable:
         k1, k2, start, key, check = (np.concatenate(c) for c in zip(*kept))
         kept.clear()
         order = np.lexsort((start, k2, k1, check, key))
-        k1, k2, start, key, check = (c[order] for c in (k1, k2, start, key, check))
         fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (check[1:] != check[:-1])
-        head = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-        first = (k1 == k1[head]) & (k2 == k2[head]) & (start == start[head])
+        fresh[1:] = (key[order][1:] != key[order][:-1]) | (check[order][1:] != check[order][:-1])
+        head = np.empty(len(key), np.int64)  # for each window the earliest equal one here
+        head[order] = order[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+        later = np.flatnonzero((k1 != k1[head]) | (k2 != k2[head]) | (start != start[head]))
+        first = np.sort(order[fresh])  # rows of one document stay together, which compresses well
         names = ["key", "check", "known", "k1", "k2", "start", "end"]
-        yield from _table(names, [_signed(key[fresh]), _signed(check[fresh]), np.zeros(int(fresh.sum()), bool), k1[fresh], k2[fresh], start[fresh], start[fresh] + np.int32(window)])
-        k1, k2, start = k1[~first], k2[~first], start[~first]
-        order = np.lexsort((start, k2, k1))
-        k1, k2, start = k1[order], k2[order], start[order]
+        yield from _table(names, [_signed(key[first]), _short(check[first]), np.zeros(len(first), bool), k1[first], k2[first], start[first], start[first] + np.int32(window)])
+        k1, k2, start = k1[later], k2[later], start[later]
         if len(k1):
             gap = np.ones(len(k1), bool)
-            gap[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (start[1:] > start[:-1] + window)
+            gap[1:] = (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]) | (start[1:] > start[:-1] + window) | (start[1:] < start[:-1])
             begin = np.flatnonzero(gap)
             last = np.append(begin[1:], len(k1)) - 1
-            own = mix(_unsigned(k2[begin]) + start[begin].astype(np.uint64) * np.uint64(2654435761))
-            yield from _table(names, [_signed(own), _signed(mix(own)), np.ones(len(begin), bool), k1[begin], k2[begin], start[begin], start[last] + np.int32(window)])
+            own = mix(k2[begin].view(np.uint64) + start[begin].astype(np.uint64) * np.uint64(2654435761))
+            yield from _table(names, [_signed(own), _short(mix(own)), np.ones(len(begin), bool), k1[begin], k2[begin], start[begin], start[last] + np.int32(window)])
 
     return run
 
 
-def _unsigned(x: np.ndarray) -> np.ndarray:
-    return x.view(np.uint64)
+def _short(x: np.ndarray) -> np.ndarray:
+    return (x >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _removed(spans: pa.Scalar, n: int) -> np.ndarray:
-    """A mask of the words in any of the ``[start, end)`` spans."""
+    """A mask of the words in any of the ``[start, end)`` spans, each packed into one integer."""
     change = np.zeros(n + 1, np.int32)
     if spans.is_valid:
-        np.add.at(change, spans.values.field("start").to_numpy(), 1)
-        np.add.at(change, spans.values.field("end").to_numpy(), -1)
+        packed = spans.values.to_numpy()
+        np.add.at(change, packed >> 32, 1)
+        np.add.at(change, packed & 0xFFFFFFFF, -1)
     return np.cumsum(change[:n]) > 0
 
 
@@ -142,12 +143,12 @@ def deduplicate(df: DataFrame, text: str = "text", doc_id: str = "doc_id", windo
     repeated = places.withColumn("met", met).filter("known or met > 1")
     known = stage(repeated.groupBy("k1", "k2").agg(F.collect_list("place").alias("places")), "anchors")
 
-    schema = "key long, check long, known boolean, k1 long, k2 long, start int, end int"
+    schema = "key long, check int, known boolean, k1 long, k2 long, start int, end int"
     joined = docs.join(known, ["k1", "k2"])
     windows = joined.select("k1", "k2", "text", "places").mapInArrow(_count(window, anchor), schema)
     order = Window.partitionBy("key", "check").orderBy("k1", "k2", "start")
     later = windows.withColumn("place", F.rank().over(order)).filter("known or place > 1")
-    spans = later.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = later.groupBy("k1", "k2").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
