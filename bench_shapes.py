@@ -1,7 +1,7 @@
 """The summaries in two shapes over the same Parquet masters, timed in one session; prints one JSON line.
 
-``naive``: input count, output count and write as three actions; row-level join before the aggregate; two scans
-for two aggregates; engine sums. ``ours``: the plans of this library. Both write Parquet. Masters are written
+``naive``: the same operators without the care: input count, output count and write as three actions; row-level join
+before the aggregate; two scans for two aggregates. ``ours``: the jobs of this library. Both write Parquet. Masters are written
 once per run to a new folder under the shared folder, from the star at ``BENCH_SF_DIR``; ``BENCH_COPIES`` repeats
 every sale that many times, to see how the shapes grow.
 """
@@ -15,68 +15,48 @@ import sys
 import time
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from marigold.functions.bands import HUMIDITY, TEMPERATURE, band, positive_flag  # noqa: E402
-from marigold.plans import jobs, masters  # noqa: E402
+from marigold.operators.enrich import enrich, match_report  # noqa: E402
+from marigold.operators.summarize import preaggregate  # noqa: E402
+from marigold.plans import jobs, masters, summaries  # noqa: E402
 from marigold.sources.sinks import write_parquet  # noqa: E402
 from marigold.staging import scratch_path  # noqa: E402
 from workload.star import READING_DIGITS, readings, sales  # noqa: E402
 
 
-def _three_actions(source: DataFrame, result: DataFrame, target: str, parts: tuple[str, ...]) -> None:
+def _counted(name: str, source: DataFrame, plan: DataFrame, target: str) -> None:
+    """Input count, output count and write, each evaluating the plan again."""
     source.count()
-    result.count()
-    result.write.mode("overwrite").partitionBy(*parts).parquet(target)
-
-
-def _totals(grouped) -> DataFrame:
-    return grouped.agg(
-        F.sum("revenue_INR").alias("total_revenue"), F.sum("units_sold").alias("total_units"), F.avg("price_INR").alias("avg_price")
-    )
+    plan.count()
+    write_parquet(plan, target, jobs.PARTITIONS[name])
 
 
 def naive_kpis(products: DataFrame, weather: DataFrame, target: str) -> None:
-    daily = products.groupBy("festival_date").agg(
-        F.sum("revenue_INR").alias("revenue"), F.sum("units_sold").alias("units"), F.count(F.lit(1)).alias("tx"),
-        F.avg("price_INR").alias("price"), F.avg("discount_pct").alias("discount"), F.avg("seller_rating").alias("rating"))
-    dated = daily.withColumns({"year": F.year("festival_date"), "month": F.month("festival_date")})
-    _three_actions(products, dated, target, ("year", "month"))
+    _counted("overall_kpis", products, summaries.overall_kpis(products), target)
 
 
 def naive_festival(products: DataFrame, weather: DataFrame, target: str) -> None:
-    order = Window.partitionBy("festival", "year").orderBy(F.desc("amount"))
-    ranked = products.groupBy("festival", "year", "product").agg(F.sum("revenue_INR").alias("amount")).withColumn("place", F.rank().over(order))
-    tops = ranked.filter("place <= 5").groupBy("festival", "year").agg(F.collect_list(F.struct("product", "amount")).alias("top"))
-    base = _totals(products.groupBy("festival", "product_category", "year"))
-    _three_actions(products, base.join(tops, ["festival", "year"], "left"), target, ("year",))
+    _counted("festival_category_summary", products, summaries.festival_category_summary(products), target)
 
 
 def naive_geo(products: DataFrame, weather: DataFrame, target: str) -> None:
-    order = Window.partitionBy("state", "city", "year").orderBy(F.desc("amount"))
-    amounts = products.groupBy("state", "city", "year", "product_category").agg(F.sum("revenue_INR").alias("amount"))
-    best = amounts.withColumn("place", F.rank().over(order)).filter("place = 1").drop("place", "amount")
-    base = _totals(products.groupBy("state", "city", "latitude", "longitude", "year"))
-    _three_actions(products, base.join(best, ["state", "city", "year"], "left"), target, ("state", "year"))
+    _counted("geo_summary", products, summaries.geo_summary(products), target)
 
 
-def naive_weather(products: DataFrame, weather: DataFrame, target: str) -> None:
-    slim = weather.select("city", F.col("date").alias("day_key"), "avg_temp_C", "avg_humidity_pct", "total_precip_mm")
-    joined = products.withColumn("day_key", F.col("festival_date")).join(slim, ["city", "day_key"], "left")
-    products.count(), weather.count(), joined.filter("avg_temp_C is null").count(), joined.count()
-    joined.filter("avg_temp_C is null").select("city", "day_key").limit(10).write.mode("overwrite").csv(target + "_sample")
-    keys = ["city", "day_key", F.year("day_key").alias("y"), F.month("day_key").alias("m"), band(F.col("avg_temp_C"), TEMPERATURE).alias("t"),
-            band(F.col("avg_humidity_pct"), HUMIDITY).alias("h"), positive_flag(F.col("total_precip_mm")).alias("rain")]
-    _totals(joined.groupBy(*keys)).write.mode("overwrite").partitionBy("y", "m").parquet(target)
+def naive_vendor(products: DataFrame, weather: DataFrame, target: str) -> None:
+    _counted("payment_vendor_summary", products, summaries.payment_vendor_summary(products), target)
 
 
-def naive_vendor(products: DataFrame, weather: DataFrame, target: str) -> None:
-    result = products.groupBy("vendor_type", "payment_methods", "year").agg(
-        F.sum("revenue_INR").alias("revenue"), F.sum("units_sold").alias("units"), F.avg("discount_pct").alias("discount"))
-    products.count(), result.count()
-    result.write.mode("overwrite").parquet(target)
+def naive_weather(products: DataFrame, weather: DataFrame, target: str) -> None:
+    """Every sale meets its weather before anything is added up."""
+    measures = ["avg_temp_C", "avg_humidity_pct", "total_precip_mm"]
+    rows = enrich(products, weather, {"city": "city", "festival_date": "date"}, measures)
+    match_report(rows, "avg_temp_C").collect()
+    states = preaggregate(rows.withColumn("join_date", F.col("festival_date")), ["city", "join_date", *measures], summaries.SALES_AND_ROWS)
+    _counted("weather_sales_summary", products, summaries.weather_sales_from_days(states), target)
 
 
 PAIRS = {

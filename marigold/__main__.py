@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from inspect import signature
 
 from pyspark.sql import SparkSession
 
@@ -23,6 +24,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--names", help="CSV list of cities, for weather_daily")
     parser.add_argument("--zone", help="zone that cuts the days, for weather_daily")
     args = parser.parse_args(argv)
+    accepted = {"inspect": {"source"}, "csv_to_parquet": {"source", "target"}}.get(args.job)
+    if accepted is None:
+        accepted = set(signature(JOBS[args.job]).parameters)
+    for option in ("source", "target", "names", "zone"):
+        if getattr(args, option) and option not in accepted:
+            parser.error(f"{args.job} takes no --{option}")
+    if args.job == "csv_to_parquet" and not (args.source and args.target):
+        parser.error("csv_to_parquet needs --source and --target")
 
     spark = SparkSession.builder.appName(f"marigold {args.job}").getOrCreate()
     layout = Layout(args.base)

@@ -69,15 +69,17 @@ def day_in_zone(df: DataFrame, column: str, zone: str = "UTC") -> Column:
     return wall.cast("date")
 
 
-def in_period(df: DataFrame, day: str, start: date, end: date) -> DataFrame:
+def in_period(df: DataFrame, day: str, start: date, end: date, partition_parts: Sequence[str] = ()) -> DataFrame:
     """Rows with ``start <= day <= end``.
 
-    When the table also carries ``year`` and ``month`` (the partition columns of the masters), the same
-    bounds are put on them too, so that whole directories are pruned before any file is opened.
+    ``partition_parts`` says that the table is partitioned by ``year`` or by ``year`` and ``month`` *of this day*
+    (as the masters are): the same bounds are put on them too, so that whole directories are pruned before any
+    file is opened, months across the turn of a year included.
     """
     kept = df.filter(F.col(day).between(F.lit(start), F.lit(end)))
-    if "year" in df.columns:
-        kept = kept.filter(F.col("year").between(start.year, end.year))
-        if "month" in df.columns and start.year == end.year:
-            kept = kept.filter(F.col("month").between(start.month, end.month))
-    return kept
+    if tuple(partition_parts) == ("year", "month"):
+        month = F.col("year") * 12 + F.col("month")
+        kept = kept.filter(month.between(start.year * 12 + start.month, end.year * 12 + end.month))
+    elif tuple(partition_parts) not in ((), ("year",)):
+        raise ValueError("a period is bounded by year, or by year and month")
+    return kept.filter(F.col("year").between(start.year, end.year)) if partition_parts else kept

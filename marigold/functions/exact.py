@@ -37,12 +37,16 @@ def minor_digits_of(kind: T.DataType, declared: int | None) -> int | None:
 def minor_units(value: Column, kind: T.DataType, digits: int) -> Column:
     """The value as a whole number of minor units.
 
-    A decimal is taken apart into whole and fraction, each of which converts exactly. A double is rounded
-    to its declared digits; NaN and infinity are errors.
+    A decimal is taken apart into whole and fraction, each of which converts exactly. A double must lie on the
+    grid of its declared digits, but for the error of its binary form; others, NaN and infinity are errors.
     """
     scale = 10**digits
     if not isinstance(kind, T.DecimalType):
-        return F.rint(value * scale).cast("bigint")
+        scaled = value * scale
+        units = F.rint(scaled)
+        off = F.abs(scaled - units) > 1e-4 + 1e-12 * F.abs(scaled)
+        refused = F.raise_error(F.concat(F.lit(f"more than {digits} decimal digits: "), value.cast("string"))).cast("double")
+        return F.when(off, refused).otherwise(units).cast("bigint")
     whole = value.cast("bigint")
     if digits == 0:
         return whole

@@ -13,16 +13,20 @@ from pyspark.sql import Column, DataFrame, functions as F
 MATCHED = "__matched"
 
 
-def enrich(left: DataFrame, right: DataFrame, on: Mapping[str, str], take: Sequence[str]) -> DataFrame:
-    """All rows of ``left`` with the ``take`` columns of ``right`` and a marker that is null without a partner.
+def enrich(left: DataFrame, right: DataFrame, on: Mapping[str, str], take: Sequence[str], marker: str = MATCHED) -> DataFrame:
+    """All rows of ``left`` with the ``take`` columns of ``right`` and a ``marker`` that is null without a partner.
+
+    A second enrichment of the same table needs a marker of its own.
 
     ``on`` maps left keys to right keys. ``right`` is cut down to its keys and the wanted columns before
     the join, so that names both sides share are not ambiguous afterwards. Null keys find no partner.
     """
+    if marker in left.columns:
+        raise ValueError(f"the table already has a column {marker}: name another marker")
     slim = right.select(
         *[F.col(key).alias(f"__key{i}") for i, key in enumerate(on.values())],
         *take,
-        F.lit(True).alias(MATCHED),
+        F.lit(True).alias(marker),
     )
     same = [F.col(key) == F.col(f"__key{i}") for i, key in enumerate(on)]
     condition = same[0]
@@ -31,7 +35,7 @@ def enrich(left: DataFrame, right: DataFrame, on: Mapping[str, str], take: Seque
     return left.join(slim, condition, "left").drop(*[f"__key{i}" for i in range(len(on))])
 
 
-def match_counts(measure: str, weight: str | None = None) -> list[Column]:
+def match_counts(measure: str, weight: str | None = None, marker: str = MATCHED) -> list[Column]:
     """Aggregates over an enriched table: rows, rows without a partner, rows without a measure.
 
     ``weight`` names a column that holds how many rows a pre-aggregated row stands for.
@@ -44,14 +48,14 @@ def match_counts(measure: str, weight: str | None = None) -> list[Column]:
 
     return [
         rows_where(F.lit(True)).alias("total_rows"),
-        rows_where(F.col(MATCHED).isNull()).alias("no_key"),
+        rows_where(F.col(marker).isNull()).alias("no_key"),
         rows_where(F.col(measure).isNull()).alias("no_measure"),
     ]
 
 
-def match_report(enriched: DataFrame, measure: str, weight: str | None = None, threshold: float = 0.05) -> DataFrame:
+def match_report(enriched: DataFrame, measure: str, weight: str | None = None, threshold: float = 0.05, marker: str = MATCHED) -> DataFrame:
     """One row: the counts of ``match_counts``, the share without a measure and whether it passes ``threshold``."""
-    counts = enriched.agg(*match_counts(measure, weight))
+    counts = enriched.agg(*match_counts(measure, weight, marker))
     share = F.coalesce(F.try_divide(F.col("no_measure"), F.col("total_rows")), F.lit(0.0))
     return counts.withColumn("unmatched_ratio", share).withColumn("alarm", F.col("unmatched_ratio") > threshold)
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from itertools import combinations
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
 
 from marigold.functions.text import RUPEE, items_as_text, label_of, two_decimals, whole_number
 from marigold.operators.checks import date_like_columns, numeric_columns
@@ -16,9 +16,6 @@ from marigold.operators.summarize import totals
 MONEY_FRAGMENT = "revenue"
 SUMMED_FRAGMENTS = ("units", "products", "sold")
 
-# How many aggregates one pass of ``corr_matrix`` computes.
-AGGREGATES_PER_PASS = 20
-
 
 def _is_item_list(kind: T.DataType) -> bool:
     return (
@@ -144,44 +141,75 @@ def scatter_data(df: DataFrame, x: str, y: str, color: str | None = None) -> Dat
     return df.select(*dict.fromkeys([x, y, *([color] if color else [])]))
 
 
+def _moments(k: int) -> Callable:
+    """Per task one row for each pair of columns: count, means, and centred sums of squares and products.
+
+    A batch is shifted by its first values before its products are formed, which leaves nothing to cancel in a
+    constant column; batches are merged by their means.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, square, cross = (np.zeros((k, k)) for _ in range(4))  # mean[i, j]: of i, where both are present
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) if len(batch) else np.zeros((0, k))
+            there = ~np.isnan(x)
+            if not there.any():
+                continue
+            shift = np.where(there.any(axis=0), x[there.argmax(axis=0), np.arange(k)], 0.0)
+            x = np.where(there, x - shift, 0.0)
+            there = there.astype(float)
+            more = there.T @ there
+            sums = x.T @ there
+            with np.errstate(divide="ignore", invalid="ignore"):
+                own = np.where(more > 0, sums / more, 0.0)
+                share = np.where(n + more > 0, more / (n + more), 0.0)
+            squares, products = (x * x).T @ there - sums * own, x.T @ x - sums * own.T
+            own = own + shift[:, None]
+            gap = np.where(n > 0, own - mean, 0.0)
+            square += squares + gap * gap * n * share
+            cross += products + gap * gap.T * n * share
+            mean = np.where(n > 0, mean + gap * share, own)
+            n += more
+        i, j = np.triu_indices(k)
+        table = (i.astype(np.int32), j.astype(np.int32), n[i, j], mean[i, j], mean[j, i], square[i, j], square[j, i], cross[i, j])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in table], names=["i", "j", "n", "mx", "my", "xx", "yy", "xy"])
+
+    return run
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns as rows (x, y, r), in both orders and with itself.
 
     Each pair uses the rows where both are present; NaN counts as missing. A column that does not vary gives
     null, where Spark's own ``corr`` would fail.
 
-    Up to four columns take one pass. Beyond ``AGGREGATES_PER_PASS`` the method that Spark generates for the
-    aggregate outgrows what the JVM compiles and slows down fivefold, so more columns are spread over several
-    passes, each of which reads only the columns it uses.
+    One scan, however many columns: every task turns its rows into partial moments of all pairs by matrix products,
+    and only one row per pair and task is shuffled. They are added up around the least of the tasks' means.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     if len(names) < 2:
         raise ValueError("a correlation matrix needs two or more numeric columns")
-    nothing = F.lit(None).cast("double")
-    wide = df.select(*[F.nanvl(F.col(name).cast("double"), nothing).alias(name) for name in names])
-
-    def cell(x: str, y: str, r: Column) -> Column:
-        return F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r"))
-
-    parts = []
-    for i, name in enumerate(names):
-        spread = f"__sd{i}"
-        parts.append(([F.stddev_pop(name).alias(spread)], [cell(name, name, F.when(F.col(spread) > 0, F.lit(1.0)))]))
-    for (i, x), (j, y) in combinations(enumerate(names), 2):
-        r2, sxy = f"__r2_{i}_{j}", f"__sxy_{i}_{j}"
-        # A perfect fit without covariance is that of a constant; a constant x already has a null fit.
-        constant = (F.col(sxy) == 0) & (F.col(r2) > 0)
-        r = F.when(constant, nothing).otherwise(F.signum(sxy) * F.sqrt(r2))
-        parts.append(([F.regr_r2(y, x).alias(r2), F.regr_sxy(y, x).alias(sxy)], [cell(x, y, r), cell(y, x, r)]))
-
-    passes: list[tuple[list[Column], list[Column]]] = [([], [])]
-    for aggregates, cells in reversed(parts):
-        if len(passes[-1][0]) + len(aggregates) > AGGREGATES_PER_PASS:
-            passes.append(([], []))
-        passes[-1][0].extend(aggregates)
-        passes[-1][1].extend(cells)
-    matrix = [wide.agg(*aggregates).select(F.inline(F.array(*cells))) for aggregates, cells in passes]
-    return reduce(DataFrame.unionAll, matrix)
+    missing = F.lit(float("nan"))
+    wide = df.select(*[F.coalesce(F.col(name).cast("double"), missing).alias(f"c{i}") for i, name in enumerate(names)])
+    schema = "i int, j int, n double, mx double, my double, xx double, yy double, xy double"
+    parts = wide.mapInArrow(_moments(len(names)), schema)
+    pair = Window.partitionBy("i", "j")
+    seen = F.col("n") > 0
+    parts = parts.withColumns({"dx": F.col("mx") - F.min(F.when(seen, F.col("mx"))).over(pair), "dy": F.col("my") - F.min(F.when(seen, F.col("my"))).over(pair)}).filter(seen)
+    sums = parts.groupBy("i", "j").agg(
+        *[F.sum(a).alias(a) for a in ("n", "xx", "yy", "xy")],
+        *[F.sum(F.col("n") * b).alias(a) for a, b in (("sx", F.col("dx")), ("sy", F.col("dy")), ("sxx", F.col("dx") * F.col("dx")), ("syy", F.col("dy") * F.col("dy")), ("sxy", F.col("dx") * F.col("dy")))],
+    )
+    n = F.col("n")
+    vx, vy, cov = (F.col(a) + F.col(f"s{a}") - F.col(f"s{a[0]}") * F.col(f"s{a[1]}") / n for a in ("xx", "yy", "xy"))
+    sums = sums.select("i", "j", vx.alias("vx"), vy.alias("vy"), cov.alias("cov"))
+    varies = (F.col("vx") > 0) & (F.col("vy") > 0)
+    r = F.when(F.col("i") == F.col("j"), F.lit(1.0)).otherwise(F.col("cov") / F.sqrt(F.col("vx")) / F.sqrt(F.col("vy")))
+    r = F.when(varies, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    pairs = df.sparkSession.createDataFrame([(i, j, names[i], names[j]) for i in range(len(names)) for j in range(i, len(names))], "i int, j int, a string, b string")
+    found = pairs.join(sums, ["i", "j"], "left").select("i", "j", "a", "b", r.alias("r"))
+    both = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y"), "r"), F.struct(F.col("b").alias("x"), F.col("a").alias("y"), "r"))
+    return found.select(F.inline(F.when(F.col("i") == F.col("j"), F.slice(both, 1, 1)).otherwise(both)))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

@@ -25,13 +25,17 @@ _STATE = re.compile(r"__(?:rows$|sum_|count_|high\d_|low\d_)")
 class Measures:
     """What to report per group: output name to input column for sums and means, a name for the row count.
 
-    ``minor_digits`` declares how many decimal digits the double inputs have, which makes their sums exact.
+    ``minor_digits`` declares how many decimal digits the double inputs have, for all or column by column, which
+    makes their sums exact. A value with more digits than declared is an error.
     """
 
     sums: Mapping[str, str] = field(default_factory=dict)
     means: Mapping[str, str] = field(default_factory=dict)
     rows: str | None = None
-    minor_digits: int | None = None
+    minor_digits: int | Mapping[str, int] | None = None
+
+    def digits_of(self, column: str) -> int | None:
+        return self.minor_digits.get(column) if isinstance(self.minor_digits, Mapping) else self.minor_digits
 
     @property
     def inputs(self) -> list[str]:
@@ -42,7 +46,7 @@ class Measures:
         kinds = {f.name: f.dataType for f in df.select(*self.inputs).schema}
         state = []
         for column in self.inputs:
-            digits = minor_digits_of(kinds[column], self.minor_digits)
+            digits = minor_digits_of(kinds[column], self.digits_of(column))
             if digits is None:
                 state.append(F.sum(column).alias(f"__sum_{column}"))
             else:

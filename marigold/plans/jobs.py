@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from marigold.functions.calendar import DAY_FORMAT
 from marigold.functions.text import FILE_STEM, FILE_STEM_ANY_SEPARATOR
-from marigold.operators.checks import unparsed
+from marigold.operators.checks import MissingColumns, unparsed
 from marigold.operators.explore import describe_columns, first_rows
 from marigold.plans import masters, summaries
 from marigold.sources import schemas
 from marigold.sources.files import choose_files, chosen_paths, with_file_key
 from marigold.sources.sinks import Written, export_csv, write_parquet
 from marigold.sources.tables import if_exists, read_csv, read_parquet, uri
-from marigold.staging import materialise
+from marigold.staging import Staging
 
 
 @dataclass(frozen=True)
@@ -82,8 +82,25 @@ def _master_from_text(
     return JobReport(job, "done", written.rows, written, dict(written.metrics))
 
 
+def _festival_file(spark: SparkSession, path: str) -> DataFrame:
+    """The raw festival sales by the names in their header, further columns included.
+
+    A header that holds ``Date`` and ``date`` names no column for sure: it is read by position, if it has the columns
+    of the schema and those two in the order that the schema has.
+    """
+    schema = schemas.festival_sales()
+    header = read_csv(spark, path).columns
+    if set(schema.names) <= set(header):
+        return read_csv(spark, path, schema)
+    plain = [name.rstrip("0123456789") for name in header]  # Spark tells names apart by their position
+    if len(plain) < len(schema.names) or plain[: len(schema.names)] != schema.names:
+        raise MissingColumns(f"festival sales: the header {header} does not hold the columns {schema.names}")
+    more = [T.StructField(name, T.StringType()) for name in header[len(schema.names) :]]
+    return read_csv(spark, path, T.StructType([*schema.fields, *more]), by="position")
+
+
 def build_festival_sales(spark: SparkSession, layout: Layout, source: str = "Festival_Sales.csv", fmt: str = DAY_FORMAT, strict: bool = False) -> JobReport:
-    raw = if_exists(lambda: read_csv(spark, layout.raw(source), schemas.festival_sales(), by="position"))
+    raw = if_exists(lambda: _festival_file(spark, layout.raw(source)))
     target = layout.master("festival_sales")
     return _master_from_text("festival_sales", raw, lambda df: masters.festival_sales(df, fmt, strict), "Date", "date", target)
 
@@ -146,11 +163,13 @@ def run_overall_kpis(spark: SparkSession, layout: Layout) -> JobReport:
 
 
 def run_festival_category_summary(spark: SparkSession, layout: Layout) -> JobReport:
-    return _run_summary(spark, layout, "festival_category_summary", summaries.festival_category_summary)
+    with Staging(spark) as share:
+        return _run_summary(spark, layout, "festival_category_summary", lambda df: summaries.festival_category_summary(df, share=share))
 
 
 def run_geo_summary(spark: SparkSession, layout: Layout) -> JobReport:
-    return _run_summary(spark, layout, "geo_summary", summaries.geo_summary)
+    with Staging(spark) as share:
+        return _run_summary(spark, layout, "geo_summary", lambda df: summaries.geo_summary(df, share=share))
 
 
 def run_payment_vendor_summary(spark: SparkSession, layout: Layout) -> JobReport:
@@ -160,19 +179,20 @@ def run_payment_vendor_summary(spark: SparkSession, layout: Layout) -> JobReport
 def run_weather_sales_summary(spark: SparkSession, layout: Layout) -> JobReport:
     """The weather summary with its match report; a sample of unmatched keys is written when the alarm is on.
 
-    The joined city-days are materialised once and feed the report, the sample and the summary.
+    The joined city-days are staged once and feed the report, the sample and the summary.
     """
     job = "weather_sales_summary"
     sales = read_parquet(spark, layout.master("products"))
     weather = read_parquet(spark, layout.master("weather_daily"))
-    days = materialise(summaries.sales_days_with_weather(sales, weather))
-    report: Row = summaries.unmatched_report(days).first()
-    findings = {**report.asDict(), "weather_rows": weather.count()}
-    if report.alarm:
-        sample = summaries.unmatched_days_sample(days)
-        findings["sample"] = export_csv(sample, layout.debug("unmatched_joins"), header=False).path
-    written = write_parquet(summaries.weather_sales_from_days(days), layout.summary(job), PARTITIONS[job])
-    return JobReport(job, "done", sales.count(), written, findings)
+    with Staging(spark) as share:
+        days = share(summaries.sales_days_with_weather(sales, weather))
+        report: Row = summaries.unmatched_report(days).first()
+        findings = {**report.asDict(), "weather_rows": weather.count()}
+        if report.alarm:
+            sample = summaries.unmatched_days_sample(days)
+            findings["sample"] = export_csv(sample, layout.debug("unmatched_joins"), header=False).path
+        written = write_parquet(summaries.weather_sales_from_days(days), layout.summary(job), PARTITIONS[job])
+        return JobReport(job, "done", report.total_rows, written, findings)
 
 
 def csv_to_parquet(

@@ -1,7 +1,7 @@
 """The five summaries over the product transactions, and the match report of sales and weather.
 
-Each is a plan over masters. Where a summary needs two aggregates of the fact table, both are rolled up from
-one shared pre-aggregate, so the fact is scanned and shuffled once.
+Each is a lazy plan over masters. Where a summary needs two aggregates of the fact table, both are rolled up from
+one pre-aggregate, which jobs stage so that the fact is scanned and shuffled once.
 
 Money that is stored as decimal adds up exactly. For money that is stored as double, ``minor_digits`` says how
 many decimal digits it has and makes its totals exact too; without it doubles are added as they are.
@@ -11,8 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marigold.functions.bands import HUMIDITY, TEMPERATURE, band, positive_flag
 from marigold.functions.calendar import with_calendar
@@ -20,7 +22,6 @@ from marigold.operators.checks import DAY, NUMBER, require
 from marigold.operators.enrich import enrich, match_report, unmatched_sample
 from marigold.operators.ranking import collect_top, keep_top, top_label
 from marigold.operators.summarize import Measures, preaggregate, reported, roll_up, summarize, total_of
-from marigold.staging import materialise
 
 TOP_PRODUCTS = 5
 UNMATCHED_ALARM = 0.05
@@ -49,17 +50,22 @@ def overall_kpis(sales: DataFrame, minor_digits: int | None = None) -> DataFrame
     return with_calendar(daily, "date")
 
 
+def _named(keys: list[str]) -> Column:
+    """Rows whose group a join can find again: no key is null."""
+    return reduce(and_, [F.col(key).isNotNull() for key in keys])
+
+
 def festival_category_summary(
     sales: DataFrame,
     n: int = TOP_PRODUCTS,
     ties: str = "all",
-    share: Share = materialise,
+    share: Share = lambda df: df,
     minor_digits: int | None = None,
 ) -> DataFrame:
     """Totals per festival, category and year, each with the top products of its festival and year.
 
-    ``share`` makes the pre-aggregate readable twice; pass ``lambda df: df`` for one lazy plan, which
-    evaluates it twice.
+    The plan is lazy, so that filters on it reach the scan; it evaluates the pre-aggregate twice. A job passes a
+    ``share`` that writes it once.
     """
     keys = ["festival", "product_category", "year"]
     group = ["festival", "year"]
@@ -67,14 +73,14 @@ def festival_category_summary(
     fine = share(preaggregate(sales, [*keys, "product"], replace(SALES, minor_digits=minor_digits)))
     per_category = reported(roll_up(fine, keys), keys, SALES)
     revenue = total_of(fine, "revenue_INR", F.sum)
-    per_product = fine.groupBy(*group, "product").agg(revenue.alias("product_revenue"))
+    per_product = fine.filter(_named(group)).groupBy(*group, "product").agg(revenue.alias("product_revenue"))
     top = keep_top(per_product, group, "product", "product_revenue", n, ties)
     lists = collect_top(top, group, "product", "product_revenue", "top_products", "revenue")
     return per_category.join(lists, group, "left")
 
 
 def geo_summary(
-    sales: DataFrame, ties: str = "all", share: Share = materialise, minor_digits: int | None = None
+    sales: DataFrame, ties: str = "all", share: Share = lambda df: df, minor_digits: int | None = None
 ) -> DataFrame:
     """Totals per place and year with the category that sells best in the city.
 
@@ -86,7 +92,7 @@ def geo_summary(
     fine = share(preaggregate(sales, [*keys, "product_category"], replace(SALES, minor_digits=minor_digits)))
     per_place = reported(roll_up(fine, keys), keys, SALES)
     revenue = total_of(fine, "revenue_INR", F.sum)
-    per_category = fine.groupBy(*group, "product_category").agg(revenue.alias("category_revenue"))
+    per_category = fine.filter(_named(group)).groupBy(*group, "product_category").agg(revenue.alias("category_revenue"))
     best = top_label(per_category, group, "product_category", "category_revenue", "top_category", ties)
     return per_place.join(best, group, "left")
 

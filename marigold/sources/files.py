@@ -18,14 +18,14 @@ def with_file_key(scan: DataFrame, name: str, pattern: str = FILE_STEM, undersco
     return scan.withColumn(name, key_in_path(F.col("_metadata.file_path"), pattern, underscore_as_space))
 
 
-def list_files(spark: SparkSession, prefix: str, suffixes: Sequence[str] = DATA_SUFFIXES) -> DataFrame:
-    """Every file below ``prefix`` with one of the suffixes: path, length, modification time.
+def list_files(spark: SparkSession, prefix: str, suffixes: Sequence[str] = DATA_SUFFIXES, recursive: bool = True) -> DataFrame:
+    """Every file below ``prefix`` (or, not ``recursive``, in it) with one of the suffixes: path, length, modification time.
 
     Only file status is read: the content column is pruned from the scan.
     """
     found = (
         spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", recursive)
         .load(prefix)
         .select("path", "length", "modificationTime")
     )
@@ -61,8 +61,8 @@ def match_names(names: DataFrame, column: str, keyed: DataFrame, key: str, path:
 
 
 def choose_files(spark: SparkSession, folder: str, names: DataFrame, column: str, pattern: str = FILE_STEM) -> DataFrame:
-    """The files of ``folder`` that a list of names asks for, one row per name."""
-    listing = list_files(spark, uri(folder), (".csv",))
+    """The files in ``folder`` itself that a list of names asks for, one row per name."""
+    listing = list_files(spark, uri(folder), (".csv",), recursive=False)
     keyed = listing.withColumn("key", key_in_path(F.col("path"), pattern))
     return match_names(names, column, keyed, "key", "path")
 

@@ -24,7 +24,7 @@ def read_csv(
     """CSV files with a header row: one file, a glob, a folder or a list of files as one table.
 
     ``schema`` gives types. ``by="name"`` matches them to the header, which is one line read from one file;
-    columns that the schema does not name stay text. ``by="position"`` ignores the names in the header, for
+    columns that the schema does not name stay text, and a file with another header is an error. ``by="position"`` ignores the names in the header, for
     files whose header is ambiguous. ``infer=True`` derives types from the data, which costs a second pass
     over all of it.
     """
@@ -40,7 +40,8 @@ def read_csv(
     declared = {field.name: field.dataType for field in schema}
     header = reader.csv(first).columns
     typed = T.StructType([T.StructField(name, declared.get(name, T.StringType())) for name in header])
-    return reader.schema(typed).csv(paths)
+    # Spark fills columns by position: a file whose header differs from the first one's must not be read silently.
+    return reader.option("enforceSchema", False).schema(typed).csv(paths)
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str], partition_types: Mapping[str, str] | None = None) -> DataFrame:

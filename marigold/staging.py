@@ -45,6 +45,28 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Staging:
+    """Tables staged for one job, deleted when it ends: ``with Staging(spark) as share: ... share(df)``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "staged")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        sc = self.spark.sparkContext
+        for path in self.paths:
+            folder = sc._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it from there: compressed, column by column."""
     path = scratch_path(df.sparkSession, name)

@@ -281,3 +281,40 @@ def test_command_line(spark, raw_base, capsys, monkeypatch):
     assert printed[0]["status"] == "done" and printed[0]["output"]["rows"] == 2
     main(["inspect", "--base", str(raw_base), "--source", "names.csv"])
     assert json.loads(capsys.readouterr().out)[0]["findings"]["source"] == "names.csv"
+
+
+def test_files_with_different_headers_are_not_mixed_up(spark, tmp_path):
+    text_file(tmp_path / "cities" / "a.csv", "date,temperature_2m,relative_humidity_2m,precipitation\n2024-01-01,1,50,0\n")
+    text_file(tmp_path / "cities" / "b.csv", "date,relative_humidity_2m,temperature_2m,precipitation\n2024-01-01,50,1,0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path / "cities" / "*.csv"), schemas.weather()).collect()
+
+
+def test_festival_columns_follow_their_names(spark, tmp_path):
+    names = schemas.festival_sales().names
+    row = dict(zip(names, ("p1", "kite", "toys", "10.5", "s", "r", "c", "1", "2", "03-11-2015", "f")))
+    order = ["Date", *[n for n in names if n != "Date"], "Extra"]
+    text_file(tmp_path / "Festival_Sales.csv", ",".join(order) + "\n" + ",".join({**row, "Extra": "e"}[n] for n in order) + "\n")
+    layout = jobs.Layout(str(tmp_path))
+    jobs.build_festival_sales(spark, layout)
+    got = read_parquet(spark, layout.master("festival_sales")).first()
+    assert (got.ProductID, got.Sales, str(got.date), got.Extra) == ("p1", 10.5, "2015-11-03", "e")
+    text_file(tmp_path / "Other.csv", "Date,ProductID\n03-11-2015,p1\n")
+    with pytest.raises(Exception, match="does not hold the columns"):
+        jobs.build_festival_sales(spark, layout, source="Other.csv")
+
+
+def test_chosen_files_lie_in_the_folder_itself(spark, tmp_path):
+    for folder in ("Cities", "Cities/old"):
+        text_file(tmp_path / folder / "Agra.csv", "date,temperature_2m,relative_humidity_2m,precipitation\n2024-01-01,1,50,1\n")
+    names = spark.createDataFrame([("Agra",)], ["City Name"])
+    assert len(chosen_paths(choose_files(spark, str(tmp_path / "Cities"), names, "City Name"))) == 1
+
+
+@pytest.mark.parametrize("argv", [["overall_kpis", "--source", "x"], ["masters", "--zone", "UTC"], ["csv_to_parquet", "--source", "x"]])
+def test_options_that_a_job_does_not_take_are_usage_errors(argv):
+    from marigold.__main__ import main
+
+    with pytest.raises(SystemExit) as stopped:
+        main([*argv, "--base", "/nowhere"])
+    assert stopped.value.code == 2

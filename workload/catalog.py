@@ -260,6 +260,11 @@ def unmatched_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.unmatched_report(_days(spark, sf_dir))
 
 
+def unmatched_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report with a threshold that the unmatched 31st passes."""
+    return summaries.unmatched_report(_days(spark, sf_dir), threshold=0.01)
+
+
 def unmatched_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.unmatched_days_sample(_days(spark, sf_dir))
 
@@ -342,7 +347,7 @@ QUERIES: dict[str, Query] = {
         parquet_state_roundtrip, export_csv, parse_day_calendar, festival_sales_master, weather_daily,
         require_columns, overall_kpis, festival_category, top_products, top_products_by_units,
         top_products_first_of_ties, top_products_nested, geo_summary, top_category, payment_vendor, weather_sales,
-        weather_sales_unknown_band, enriched_sales, unmatched_report, unmatched_sample, band_temperature,
+        weather_sales_unknown_band, enriched_sales, unmatched_report, unmatched_alarm, unmatched_sample, band_temperature,
         band_humidity, inspect_columns, preview_text, metric_cards, bar_data, share_data, line_data, scatter_data,
         corr_matrix, distinct_values, filter_values,
     )

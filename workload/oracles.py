@@ -35,7 +35,6 @@ readings as (
          20 + (user_id * 7 + event_id) % 61 as h,
          case when event_type = 'error' then cast(value as decimal(18,2)) else cast(0 as decimal(18,2)) end as p
   from events
-  where user_id % 25 not in (3, 7, 11)
 )"""
 
 WX = READINGS + """,
@@ -232,6 +231,15 @@ counts as (
 )
 select *, cast(no_measure as double) / total_rows as unmatched_ratio,
        cast(no_measure as double) / total_rows > 0.05 as alarm
+from counts""",
+    "unmatched_alarm": f"""with {JOINED},
+counts as (
+  select count(*) as total_rows, count(*) filter (where wx_city is null) as no_key,
+         count(*) filter (where avg_temp_C is null) as no_measure
+  from joined
+)
+select *, cast(no_measure as double) / total_rows as unmatched_ratio,
+       cast(no_measure as double) / total_rows > 0.01 as alarm
 from counts""",
     "unmatched_sample": f"""with {JOINED}
 select city, sale_day as join_date from joined where avg_temp_C is null order by city, sale_day limit 10""",
