@@ -31,6 +31,7 @@ from marigold.llm.text import column, fresh
 from marigold.staging import stage
 
 SAMPLE = 20_000
+SAMPLE_FILES = 32
 FEATURES = 1024
 MIN_DOCUMENTS = 5
 MIN_Z = 5.0
@@ -133,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
     """The models, from at most ``sample`` labelled rows of ``doc_id, text``; none without labels."""
     drawn = _labels(labels).orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("doc_id", "text", "quality", "toxic")  # at most ``sample`` rows
-    rows = stage(rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample).drop("doc_id"), "sample")
+    rows = stage(rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample).drop("doc_id").repartition(SAMPLE_FILES), "sample")
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
