@@ -48,7 +48,8 @@ def _shared(docs: DataFrame, min_sites: int, min_words: int) -> DataFrame:
     exact = found.filter("not sure").groupBy(*KEY).agg(F.countDistinct("site").alias("sites")).filter(F.col("sites") >= min_sites)
     boilerplate = exact.select(*KEY).unionByName(found.filter("sure").select(*KEY).distinct())
     place = F.struct("k1", "k2", "place")
-    first = found.groupBy(*KEY).agg(F.min(place).alias("first")).join(boilerplate, KEY)
+    # Written down, so that its join with the occurrences stands alone and a hot line can be split.
+    first = stage(found.groupBy(*KEY).agg(F.min(place).alias("first")).join(boilerplate, KEY), "first-places")
     return found.join(first, KEY).filter(place != F.col("first")).select("k1", "k2", "place")
 
 
