@@ -237,7 +237,7 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: in
     members = rows.select("row", "doc_id", "k2", "n_shingles", "digest").join(classes, "digest", "left").join(labels, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node", "row"))
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k2")
-    groups = members.groupBy("component").agg(F.min(order).alias("least"))
+    groups = stage(members.groupBy("component").agg(F.min(order).alias("least")), "least")  # a hot group's join can be split
     chosen = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("k2") == F.col("least.k2"))
     return members.join(groups, "component").select("doc_id", "k2", "n_shingles", F.col("least.doc_id").alias("component_id"), chosen.alias("kept"))
 
