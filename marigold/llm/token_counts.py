@@ -26,6 +26,7 @@ from marigold.llm.text import column
 from marigold.llm.tokens import CHUNK, byte_letters, default_path
 
 REMEMBERED = 600_000
+SLICE = 512
 
 
 def read_vocabulary(path: str) -> dict[bytes, float]:
@@ -37,16 +38,21 @@ def read_vocabulary(path: str) -> dict[bytes, float]:
 
 
 class Trie:
-    """A trie of byte strings. A node is a dict of its children; the key ``None`` marks that a string ends there."""
+    """A trie of byte strings, kept as its strings in order: to walk them, each from the prefix that it shares with the
+    one before, is to walk the trie depth first."""
 
-    def __init__(self) -> None:
-        self.root: dict = {}
+    def __init__(self, words: Iterable[bytes]):
+        self.words = sorted(set(words))
 
-    def insert(self, word: bytes) -> None:
-        node = self.root
-        for byte in word:
-            node = node.setdefault(byte, {})
-        node[None] = True
+    def walk(self) -> Iterator[tuple[bytes, int]]:
+        """Every string, and how many nodes of its path the walk has seen already."""
+        before = b""
+        for word in self.words:
+            shared, most = 0, min(len(before), len(word))
+            while shared < most and before[shared] == word[shared]:
+                shared += 1
+            yield word, shared
+            before = word
 
 
 class Unigram:
@@ -62,49 +68,31 @@ class Unigram:
         for piece in scores:
             lengths.setdefault(piece[-2:], set()).add(len(piece))
         self.lengths = {end: sorted(found) for end, found in lengths.items()}
-        self.longest = max(map(len, scores))
         self.nodes = 0  # forward scores computed so far
 
     def counts(self, words: Iterable[bytes]) -> dict[bytes, int]:
         """Pieces in the best segmentation of each word, with one forward step per node of their trie."""
-        trie = Trie()
-        for word in words:
-            trie.insert(word)
-        out: dict[bytes, int] = {b"": 0} if None in trie.root else {}
-        best: list[tuple[float, int]] = [(0.0, 0)]  # by depth: score and minus the number of pieces
-        prefix = bytearray()
-        stack = [iter([(b, n) for b, n in trie.root.items() if b is not None])]
-        while stack:
-            step = next(stack[-1], None)
-            if step is None:
-                stack.pop()
-                if prefix:
-                    prefix.pop()
-                    best.pop()
-                continue
-            byte, node = step
-            prefix.append(byte)
-            best.append(self._forward(bytes(prefix[-self.longest :]), best))
-            self.nodes += 1
-            if None in node:
-                out[bytes(prefix)] = -best[-1][1]
-            stack.append(iter([(b, n) for b, n in node.items() if b is not None]))
+        scores, lengths = self.scores.get, self.lengths.get
+        best, pieces = [0.0], [0]  # by depth of the walk: the best score up to there, and its number of pieces
+        out = {}
+        for word, shared in Trie(words).walk():
+            del best[shared + 1 :], pieces[shared + 1 :]
+            self.nodes += len(word) - shared
+            for end in range(shared + 1, len(word) + 1):
+                top, count = best[-1] + scores(word[end - 1 : end]), pieces[-1] + 1
+                for length in lengths(word[end - 2 : end], ()) if end > 1 else ():
+                    if length > end:
+                        break
+                    score = scores(word[end - length : end])
+                    if score is not None:
+                        score += best[end - length]
+                        if score > top or (score == top and pieces[end - length] + 1 < count):
+                            top, count = score, pieces[end - length] + 1
+                best.append(top)
+                pieces.append(count)
+            out[word] = pieces[-1]
         return out
 
-    def _forward(self, tail: bytes, best: list[tuple[float, int]]) -> tuple[float, int]:
-        """The best way to end at the end of ``tail``, the last bytes of a prefix."""
-        n, depth, top = len(tail), len(best), (-math.inf, 0)
-        for length in (1, *self.lengths.get(tail[-2:], ())) if n > 1 else (1,):
-            if length > n:
-                break
-            score = self.scores.get(tail[n - length :])
-            if score is not None:
-                before, pieces = best[depth - length]
-                found = (before + score, pieces - 1)
-                if found > top:
-                    top = found
-        return top
-
 
 class Counts:
     """A worker's memory of pre-tokens and their counts; it forgets everything when it is full."""
@@ -132,8 +120,8 @@ def count(df: DataFrame, text: str = "text", doc_id: str = "doc_id", vocabulary:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = counts(vocabulary)
         for whole in batches:
-            for start in range(0, len(whole), 256):
-                batch = whole.slice(start, 256)
+            for start in range(0, len(whole), SLICE):
+                batch = whole.slice(start, SLICE)
                 met = [Counter(CHUNK.findall(t)) if t else Counter() for t in batch.column(1).to_pylist()]
                 memory.add(set().union(*met))
                 known = memory.known
