@@ -9,7 +9,7 @@ import pytest
 from workload.catalog import QUERIES
 from workload.oracles import ORACLES
 
-ROWS_ONLY = {"list_datasets", "inspect_columns", "top_products_nested"}
+ROWS_ONLY = {"inspect_columns"}
 
 
 def test_only_listings_and_nested_values_lack_sql():

@@ -120,8 +120,9 @@ def rows_not_on_name_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.element_at(F.split("path", "/"), -1)
-    return list_files(spark, sf_dir).select(name.alias("file_name"), "length")
+    """The tables below a folder, with the rows that are in them."""
+    listed = list_files(spark, sf_dir).select(key_in_path(F.col("path"), TABLE_STEM).alias("table_name")).distinct()
+    return listed.join(scan_tables_by_file_name(spark, sf_dir).select("table_name", "n_rows"), "table_name", "left")
 
 
 def parquet_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +215,9 @@ def top_products_first_of_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_products_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = _top_products(spark, sf_dir, "revenue_INR")
-    return collect_top(top, FESTIVAL_YEAR, "product", "total", "top_products", "revenue")
+    nested = collect_top(top, FESTIVAL_YEAR, "product", "total", "top_products", "revenue")
+    rows = nested.select(*FESTIVAL_YEAR, F.posexplode("top_products").alias("place", "entry"))
+    return rows.select(*FESTIVAL_YEAR, "place", "entry.product", "entry.revenue")
 
 
 def geo_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,6 +304,11 @@ def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.preview(summary.orderBy("festival", "year", "product_category"), 500)
 
 
+def preview_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 500 of more days."""
+    return explore.preview(overall_kpis(spark, sf_dir).orderBy("date"), 500)
+
+
 def metric_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.metric_cards(overall_kpis(spark, sf_dir))
 
@@ -348,7 +356,7 @@ QUERIES: dict[str, Query] = {
         require_columns, overall_kpis, festival_category, top_products, top_products_by_units,
         top_products_first_of_ties, top_products_nested, geo_summary, top_category, payment_vendor, weather_sales,
         weather_sales_unknown_band, enriched_sales, unmatched_report, unmatched_alarm, unmatched_sample, band_temperature,
-        band_humidity, inspect_columns, preview_text, metric_cards, bar_data, share_data, line_data, scatter_data,
+        band_humidity, inspect_columns, preview_text, preview_daily, metric_cards, bar_data, share_data, line_data, scatter_data,
         corr_matrix, distinct_values, filter_values,
     )
 }

@@ -250,6 +250,14 @@ from readings group by all""",
     "band_humidity": f"""with {READINGS}
 select city, case when h < 40 then '<40' when h <= 70 then '40-70' else '>70' end as humidity_bucket, count(*) as readings
 from readings group by all""",
+    "preview_daily": f"""with {KPIS}
+select *, cast(year(date) as integer) as year, cast(month(date) as integer) as month, cast(day(date) as integer) as day
+from kpis order by date limit 500""",
+    "list_datasets": f"select table_name, n_rows from ({_tables_by_name()})",
+    "top_products_nested": f"""with {TOP}
+select festival, year, cast(row_number() over (partition by festival, year order by total desc, product) - 1 as integer) as place,
+       product, cast(total as double) as revenue
+from ranked where "rank" <= 5""",
     "preview_text": f"""with {FESTIVAL_CATEGORY}
 select * from summary order by festival, year, product_category limit 500""",
     "metric_cards": _cards(),
