@@ -13,7 +13,7 @@ from marigold.operators.checks import require
 from marigold.operators.enrich import MATCHED, enrich
 from marigold.operators.ranking import collect_top, top_items, top_label
 from marigold.operators.summarize import Measures, summarize, totals
-from marigold.plans import masters, summaries
+from marigold.plans import jobs, masters, summaries
 from marigold.sources.files import chosen_paths, keep_listed, list_files, match_names, with_file_key
 from marigold.sources.schemas import weather as weather_schema
 from marigold.sources.sinks import export_csv as write_csv, write_parquet, write_table
@@ -236,6 +236,52 @@ def payment_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries.payment_vendor_summary(rows, MONEY_DIGITS)
 
 
+# --- the jobs a user submits: masters in, written summary read back ----------------------------------
+
+
+def _layout(spark: SparkSession, sf_dir: str, *columns: str) -> jobs.Layout:
+    """The products master, with money as decimals, in a layout of its own."""
+    layout = jobs.Layout(scratch_path(spark, "job"))
+    rows = sales(spark, sf_dir, *dict.fromkeys(["year", "month", *columns]))
+    money = [c for c in ("revenue_INR", "price_INR", "seller_rating") if c in rows.columns]
+    write_parquet(rows.withColumns({c: F.col(c).cast("decimal(18,2)") for c in money}), layout.master("products"), ["year", "month"])
+    return layout
+
+
+def job_overall_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = _layout(spark, sf_dir, "festival_date", *summaries.DAILY_KPIS.inputs)
+    jobs.run_overall_kpis(spark, layout)
+    return read_parquet(spark, layout.summary("overall_kpis"))
+
+
+def job_festival_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = _layout(spark, sf_dir, "festival", "product_category", "product", *SALE_INPUTS)
+    jobs.run_festival_category_summary(spark, layout)
+    return explore.readable(read_parquet(spark, layout.summary("festival_category_summary")))
+
+
+def job_geo_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = _layout(spark, sf_dir, "state", "city", "latitude", "longitude", "product_category", *SALE_INPUTS)
+    jobs.run_geo_summary(spark, layout)
+    return read_parquet(spark, layout.summary("geo_summary"))
+
+
+def job_payment_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = _layout(spark, sf_dir, "vendor_type", "payment_methods", *summaries.VENDOR.inputs)
+    jobs.run_payment_vendor_summary(spark, layout)
+    return read_parquet(spark, layout.summary("payment_vendor_summary"))
+
+
+def job_weather_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = jobs.Layout(scratch_path(spark, "job"))
+    rows = sales(spark, sf_dir, "city", "sale_day", "year", "month", *SALE_INPUTS).withColumnRenamed("sale_day", "festival_date")
+    money = {c: F.col(c).cast("decimal(18,2)") for c in ("revenue_INR", "price_INR")}
+    write_parquet(rows.withColumns(money), layout.master("products"), ["year", "month"])
+    write_parquet(weather_daily(spark, sf_dir), layout.master("weather_daily"), ["year", "month"])
+    jobs.run_weather_sales_summary(spark, layout)
+    return read_parquet(spark, layout.summary("weather_sales_summary"))
+
+
 # --- sales and weather -------------------------------------------------------------------------------
 
 
@@ -354,7 +400,8 @@ QUERIES: dict[str, Query] = {
         select_files_by_name_list, rows_on_name_list, rows_not_on_name_list, list_datasets, parquet_partitioned_roundtrip,
         parquet_state_roundtrip, export_csv, parse_day_calendar, festival_sales_master, weather_daily,
         require_columns, overall_kpis, festival_category, top_products, top_products_by_units,
-        top_products_first_of_ties, top_products_nested, geo_summary, top_category, payment_vendor, weather_sales,
+        top_products_first_of_ties, top_products_nested, geo_summary, top_category, payment_vendor, job_overall_kpis,
+        job_festival_category, job_geo_summary, job_payment_vendor, job_weather_sales, weather_sales,
         weather_sales_unknown_band, enriched_sales, unmatched_report, unmatched_alarm, unmatched_sample, band_temperature,
         band_humidity, inspect_columns, preview_text, preview_daily, metric_cards, bar_data, share_data, line_data, scatter_data,
         corr_matrix, distinct_values, filter_values,

@@ -276,3 +276,6 @@ from fact where vendor_type is not null group by vendor_type""",
 select product_id, product_category, festival_date, units_sold from fact
 where product_category in (select distinct product_category from fact order by product_category limit 5)""",
 }
+
+# A job writes what its plan computes.
+ORACLES |= {f"job_{name}": ORACLES[name] for name in ("overall_kpis", "festival_category", "geo_summary", "payment_vendor", "weather_sales")}
