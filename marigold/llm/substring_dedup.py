@@ -145,7 +145,8 @@ def deduplicate(df: DataFrame, text: str = "text", doc_id: str = "doc_id", windo
 
     schema = "key long, check int, known boolean, k1 long, k2 long, start int, end int"
     joined = docs.join(known, ["k1", "k2"])
-    windows = joined.select("k1", "k2", "text", "places").mapInArrow(_count(window, anchor), schema)
+    # The same columns as in the last join, so that Spark shuffles the texts once for both.
+    windows = joined.select("k1", "k2", "text", "places", "doc_id").mapInArrow(_count(window, anchor), schema)
     order = Window.partitionBy("key", "check").orderBy("k1", "k2", "start")
     later = windows.withColumn("place", F.rank().over(order)).filter("known or place > 1")
     spans = later.groupBy("k1", "k2").agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")).alias("spans"))
