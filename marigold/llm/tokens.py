@@ -2,7 +2,8 @@
 
 A text is taken apart before each run of white space. No token of the byte-level pattern holds a non-blank
 followed by a blank, and no choice of the pattern looks further than the blanks it stands in, so the ids of a
-text are the ids of these chunks in a row. Invented or not, words repeat: each worker keeps the ids of the chunks
+text are the ids of these chunks in a row. Added tokens (``<|endoftext|>``) that stand in a text get their own id, as
+the library gives it by default; they hold no blank, so no cut falls into one. Invented or not, words repeat: each worker keeps the ids of the chunks
 it has met, up to a fixed number, and asks the library for new ones only.
 """
 
@@ -41,12 +42,12 @@ class Encoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = dict(enumerate(byte_letters()))
         self.remembered = remembered
 
     def __missing__(self, chunk: str) -> bytes:
-        plain = PLAIN.fullmatch(chunk)
+        plain = None if any(token in chunk for token in self.added) else PLAIN.fullmatch(chunk)
         if plain and (plain[1] or plain[3] or chunk[0] == "\n") and not (plain[1] and plain[2][0] == " "):
             ids = b"".join(self[part] for part in plain.groups() if part)
         elif plain and not plain[1] and not plain[3]:
