@@ -220,9 +220,10 @@ def _tasks(block: Column, blocks: Column) -> Column:
 
 
 def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """``doc_id, k2, n_shingles, component_id, kept`` for every row; ``k2`` is ``xxhash64`` of the text.
+    """``doc_id, k2, n_shingles, component_id, component_k2, kept`` for every row; ``k2`` is ``xxhash64`` of the text.
 
     ``kept`` marks the rows with the least id of their group; of rows with equal ids, those with the least ``k2``.
+    ``component_id, component_k2`` are theirs.
     """
     docs = _documents(df, text, doc_id)
     kind = dict(docs.dtypes)["doc_id"]
@@ -239,7 +240,21 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: in
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k2")
     groups = stage(members.groupBy("component").agg(F.min(order).alias("least")), "least")  # a hot group's join can be split
     chosen = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("k2") == F.col("least.k2"))
-    return members.join(groups, "component").select("doc_id", "k2", "n_shingles", F.col("least.doc_id").alias("component_id"), chosen.alias("kept"))
+    least = F.col("least.doc_id").alias("component_id"), F.col("least.k2").alias("component_k2")
+    return members.join(groups, "component").select("doc_id", "k2", "n_shingles", *least, chosen.alias("kept"))
+
+
+def apart(pairs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``doc_id, k2, text, other`` whose two texts are less similar than ``percent``, without the texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3)))
+            far = [not similar(shingles(a, shingle), shingles(b, shingle), percent) for a, b in sides]
+            yield batch.select([0, 1]).filter(pa.array(far, pa.bool_()))
+
+    rows = pairs.select("doc_id", "k2", "text", "other")
+    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, k2 long")
 
 
 def deduplicate(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
