@@ -49,28 +49,29 @@ def line_fails(line: Column) -> Column:
 def repeated_words(tokens: Column) -> Column:
     """How many words lie in a window of three words that the text has twice or more.
 
-    Each window becomes one long: its hash above, its place in the lowest 24 bits. Sorting these brings equal
-    windows together; neighbours with equal hashes are then compared word by word.
+    Each window becomes a struct: its hash, its words, its place. Sorting these brings equal windows together, however
+    many there are and whatever their hashes.
     """
-    place = F.lit((1 << 24) - 1).cast("long")
 
     def at(w: Column, i: Column) -> Column:
         return F.get(w, i.cast("int"))
 
-    def same(w: Column, a: Column, b: Column) -> Column:
-        i, j = a.bitwiseAND(place), b.bitwiseAND(place)
-        return (F.shiftright(a, 24) == F.shiftright(b, 24)) & (at(w, i) == at(w, j)) & (at(w, i + 1) == at(w, j + 1)) & (at(w, i + 2) == at(w, j + 2))
+    def same(a: Column, b: Column) -> Column:
+        return (a["h"] == b["h"]) & (a["x"] == b["x"]) & (a["y"] == b["y"]) & (a["z"] == b["z"])
+
+    def window(w: Column, i: Column) -> Column:
+        x, y, z = at(w, i), at(w, i + 1), at(w, i + 2)
+        return F.struct(F.xxhash64(x, y, z).alias("h"), x.alias("x"), y.alias("y"), z.alias("z"), i.alias("i"))
 
     def keyed(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.size(w) - 3)
-        return F.sort_array(F.transform(starts, lambda i: F.shiftleft(F.xxhash64(at(w, i), at(w, i + 1), at(w, i + 2)), 24).bitwiseOR(i.cast("long"))))
+        return F.sort_array(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: window(w, i)))
 
-    def covered(w: Column, keys: Column) -> Column:
-        twins = F.filter(keys, lambda k, i: same(w, k, F.get(keys, i + 1)) | same(w, k, F.get(keys, i - 1)))
-        places = F.transform(twins, lambda k: k.bitwiseAND(place))
+    def covered(keys: Column) -> Column:
+        twins = F.filter(keys, lambda k, i: same(k, F.get(keys, i + 1)) | same(k, F.get(keys, i - 1)))
+        places = F.transform(twins, lambda k: k["i"])
         return F.size(F.array_distinct(F.flatten(F.transform(places, lambda p: F.array(p, p + 1, p + 2)))))
 
-    return F.when(F.size(tokens) < 4, F.lit(0)).otherwise(let(keyed(tokens), lambda keys: covered(tokens, keys))).cast("long")
+    return F.when(F.size(tokens) < 4, F.lit(0)).otherwise(let(keyed(tokens), covered)).cast("long")
 
 
 def measure(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
