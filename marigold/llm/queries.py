@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marigold.llm import bpe_codec, embedding_dedup, line_dedup, minhash, mixing, packing, quality_model, quality_rules, substring_dedup, token_counts, token_files
+from marigold.llm import bpe_codec, embedding_dedup, filter_audit, line_dedup, merkle, minhash, mixing, packing, quality_model, quality_rules, substring_dedup, token_counts, token_files
 from marigold.staging import scratch_path
 
 
@@ -56,6 +56,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.measure(_table(spark, sf_dir, "documents")).drop("clean_text")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return merkle.check(merkle.build(merkle.leaves(docs, claim=merkle.tampered(docs))))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.patterns(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts)
+
+
 def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(_table(spark, sf_dir, "documents"))
 
@@ -71,5 +81,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_filter_audit": op12_filter_audit,
     "op13_bpe_codec": op13_bpe_codec,
 }
