@@ -10,14 +10,23 @@ it has met, up to a fixed number, and asks the library for new ones only.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
+from operator import attrgetter
 
 # Unicode's White_Space, which the tokenizer's pattern means by a blank.
 BLANKS = "\t-\r \x85\xa0  -     　"
 CHUNK = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
-# A word of plain Latin letters, at the start of a line or after one space, with closing marks.
-PLAIN = re.compile("(\n?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
-REMEMBERED = 600_000
+# Plain words of Latin letters are cut from the marks that close them and from the line break before them: words repeat
+# more often than words with marks do.
+MARKS, LATIN = ".,!?;:", "A-Za-zÀ-ÖØ-öø-ÿ"
+FINE = re.compile(f" ?[{LATIN}]+(?=[{MARKS}]*(?:[{BLANKS}]|\\Z))|[{MARKS}]+(?=[{BLANKS}]|\\Z)|\n(?=[{LATIN}])|{CHUNK.pattern}")
+WORD = re.compile(f" ?[{LATIN}]+")
+PLAIN_LETTERS = re.compile(f"[\n {LATIN}{MARKS}]+")
+REMEMBERED = 400_000
+ID, BIG = attrgetter("id"), sys.byteorder == "big"
 
 
 def default_path() -> str:
@@ -42,34 +51,40 @@ class Encoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # Plain words are taken apart here, unless an added token could be one or a part of one.
+        self.plain = not any(PLAIN_LETTERS.fullmatch(token) for token in added)
+        self.chunks = (FINE if self.plain else CHUNK).findall
+        self.tokenize = self.tokenizer.model.tokenize
         self.letters = dict(enumerate(byte_letters()))
+        self.blank = self.letters[32]
         self.remembered = remembered
 
     def __missing__(self, chunk: str) -> bytes:
-        plain = None if any(token in chunk for token in self.added) else PLAIN.fullmatch(chunk)
-        if plain and (plain[1] or plain[3] or chunk[0] == "\n") and not (plain[1] and plain[2][0] == " "):
-            ids = b"".join(self[part] for part in plain.groups() if part)
-        elif plain and not plain[1] and not plain[3]:
-            ids = self._word(chunk)
-        else:
-            ids = self.pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
+        ids = self._ids(chunk)
         if len(self) >= self.remembered:
             self.clear()
         self[chunk] = ids
         return ids
 
-    def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return self.pack([t.id for t in self.tokenizer.model.tokenize(letters)])
+    def _ids(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if self.plain and word.isascii() and word.isalpha():
+            return self.pack(map(ID, self.tokenize(word if word is chunk else self.blank + word)))
+        if self.plain and WORD.fullmatch(chunk):
+            return self.pack(map(ID, self.tokenize(chunk.encode().decode("latin-1").translate(self.letters))))
+        return self.pack(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     @staticmethod
-    def pack(ids: list[int]) -> bytes:
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+    def pack(ids: Iterable[int]) -> bytes:
+        packed = array("I", ids)
+        if BIG:
+            packed.byteswap()
+        return packed.tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text; none for null."""
-        return b"".join(map(self.__getitem__, CHUNK.findall(text))) if text else b""
+        return b"".join(map(self.__getitem__, self.chunks(text))) if text else b""
 
 
 @lru_cache(maxsize=2)
