@@ -44,7 +44,12 @@ def instant(df: DataFrame, column: str, zone: str = "UTC") -> Column:
     kind = _type_of(df, column)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.col(column)
-    text = F.trim(F.col(column))
+    return instant_of(F.col(column), zone)
+
+
+def instant_of(text: Column, zone: str = "UTC") -> Column:
+    """The ``timestamp`` of a text column, as ``instant`` reads it; null where it is none."""
+    text = F.trim(text)
     return F.coalesce(
         F.try_to_timestamp(F.concat(text, F.lit(f" {zone}"))),
         F.try_to_timestamp(F.concat(text, F.lit(f" 00:00:00 {zone}"))),
@@ -52,15 +57,18 @@ def instant(df: DataFrame, column: str, zone: str = "UTC") -> Column:
     )
 
 
-def day_in_zone(df: DataFrame, column: str, zone: str = "UTC") -> Column:
+def day_in_zone(df: DataFrame, column: str, zone: str = "UTC", strict: bool = False) -> Column:
     """Calendar day of a reading, as seen in ``zone`` whatever the session zone is.
 
-    Accepts text, ``timestamp`` or ``timestamp_ntz``; the last is wall-clock time already.
+    Text that is no time gives null, or an error with ``strict``. Accepts text, ``timestamp`` or ``timestamp_ntz``; the last is wall-clock time already.
     """
     kind = _type_of(df, column)
     if isinstance(kind, (T.TimestampNTZType, T.DateType)):
         return F.col(column).cast("date")
     at = instant(df, column, zone)
+    if strict and isinstance(kind, T.StringType):
+        refused = F.raise_error(F.concat(F.lit(f"{column}: no time: "), F.col(column))).cast("timestamp")
+        at = F.when(at.isNull() & (F.trim(F.col(column)) != ""), refused).otherwise(at)
     if zone.upper() in ("UTC", "Z", "GMT"):
         days = F.floor(F.unix_seconds(at) / F.lit(86400))
         return F.date_from_unix_date(days.cast("int"))

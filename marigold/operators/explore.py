@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -141,6 +142,81 @@ def scatter_data(df: DataFrame, x: str, y: str, color: str | None = None) -> Dat
     return df.select(*dict.fromkeys([x, y, *([color] if color else [])]))
 
 
+# Bits of a row's place by which ``scatter_sample`` counts rows before it ranks any.
+SAMPLE_BITS = 16
+PLACE_BITS = 52
+
+
+def _place_of(keys: Sequence[str]) -> Column:
+    """A number of 52 bits that depends on the values of the keys alone, null apart from the empty text."""
+    named = [F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("-")) for k in keys]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *named).cast("binary")), 1, PLACE_BITS // 4), 16, 10).cast("long")
+
+
+def scatter_sample(
+    df: DataFrame, x: str, y: str, color: str | None = None, n: int = 5_000, keys: Sequence[str] | None = None, share: str = "share"
+) -> DataFrame:
+    """At most ``n`` points of each colour: all of them up to ``n``, else those that come first in an order by hash.
+
+    ``keys`` tell rows apart (the points' own values by default, where equal points then stand or fall together); the
+    sample depends on their values alone, not on how the rows are spread over tasks. ``share`` says which share of the
+    colour's rows the points stand for, so that a chart can scale counts back.
+
+    Rows are first counted by the upper bits of their place in that order. These counts say how far the first ``n`` of
+    each colour reach, and only rows up to there, ``n`` and a 65,536th of the colour or so, are shuffled and ranked.
+    """
+    scatter_data(df, x, y, color)
+    if n < 1:
+        raise ValueError("a sample needs room for one point")
+    told = [*dict.fromkeys([x, y, *([color] if color else [])])]
+    chosen = list(keys) if keys is not None else told
+    rows = df.select(*told, *[F.col(k).alias(f"__k{i}") for i, k in enumerate(chosen)], _place_of(chosen).alias("__at"))
+    rows = rows.withColumns({"__hue": F.col(color) if color else F.lit(0), "__slot": F.shiftright("__at", PLACE_BITS - SAMPLE_BITS)})
+    counts = rows.groupBy("__hue", "__slot").agg(F.count(F.lit(1)).alias("__here"))
+    upto = F.sum("__here").over(Window.partitionBy("__hue").orderBy("__slot"))
+    limits = counts.withColumn("__upto", upto).groupBy(F.col("__hue").alias("__its"))
+    limits = limits.agg(F.sum("__here").alias("__all"), F.min(F.when(F.col("__upto") >= n, F.col("__slot"))).alias("__last"))
+    if color:
+        near = rows.join(limits, F.col("__hue").eqNullSafe(F.col("__its")))
+    else:
+        near = rows.withColumns({c: limits.select(c).scalar() for c in ("__all", "__last")})
+    near = near.filter(F.col("__last").isNull() | (F.col("__slot") <= F.col("__last")))
+    order = ["__at", *[f"__k{i}" for i in range(len(chosen))], *told]
+    first = near.withColumn("__rank", F.row_number().over(Window.partitionBy("__hue").orderBy(*order))).filter(F.col("__rank") <= n)
+    return first.select(*told, F.least(F.lit(1.0), F.lit(float(n)) / F.col("__all")).alias(share))
+
+
+def _as_shown(df: DataFrame, column: str) -> Column:
+    """A value as text; of lists and maps only how many entries they have, of structs their JSON."""
+    kind, value = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.concat(F.lit(f"{kind.typeName()} of "), F.nullif(F.size(value), F.lit(-1)).cast("string"))
+    return F.to_json(value) if isinstance(kind, (T.StructType, T.VariantType)) else value.cast("string")
+
+
+def first_values(tables: Mapping[str, DataFrame], order: Mapping[str, Sequence[str]], n: int = 3) -> DataFrame:
+    """The first ``n`` rows of many tables in one plan, a row for each of their values.
+
+    ``table_name, position, column_name, column_type, row_number, value``: every column of every table appears, with null
+    row number and value if the table is empty. ``order`` names the columns that say which rows of a table come first.
+    Nothing runs before the result is asked for, and no more than ``n`` rows of a table leave their tasks.
+    """
+    if not tables:
+        raise ValueError("no table to look at")
+    session = next(iter(tables.values())).sparkSession
+    described = [(name, *column) for name, df in tables.items() for column in describe_columns(df)]
+    columns = session.createDataFrame(described, "table_name string, position int, column_name string, column_type string")
+    parts = []
+    for name, df in tables.items():
+        keys = [F.col(f"`{k}`").asc_nulls_first() for k in order[name]]
+        first = df.orderBy(*keys).limit(n).withColumn("__row", F.row_number().over(Window.orderBy(*keys)))
+        values = F.posexplode(F.array(*[_as_shown(df, c) for c in df.columns])).alias("at", "value")
+        parts.append(first.select(F.lit(name).alias("of"), F.col("__row").alias("row_number"), values))
+    found = reduce(DataFrame.unionByName, parts)
+    same = (F.col("table_name") == F.col("of")) & (F.col("position") == F.col("at"))
+    return columns.join(found, same, "left").select(*columns.columns, "row_number", "value")
+
+
 def _moments(k: int) -> Callable:
     """Per task one row for each pair of columns: count, means, and centred sums of squares and products.
 

@@ -8,6 +8,8 @@ to the group's task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -60,3 +62,25 @@ def collect_top(top: DataFrame, group: Sequence[str], item: str, measure: str, a
     ordered = F.sort_array(F.collect_list(entry))
     slim = F.transform(ordered, lambda x: F.struct(x[item].alias(item), x[measure_alias].cast("double").alias(measure_alias)))
     return top.groupBy(*group).agg(slim.alias(alias))
+
+
+def bounded_top(
+    totalled: DataFrame, group: Sequence[str], item: str, measure: str, n: int, alias: str, measure_alias: str, more: str = "more_ties"
+) -> DataFrame:
+    """One array of at most ``n`` (item, measure) structs per group, as ``collect_top``, and how many further items share a kept rank.
+
+    Ties beyond the ``n``-th entry are counted instead of listed, so that no group's list outgrows its bound; the items
+    themselves are the rows of ``keep_top``. Each task sends at most ``n`` rows of a group to the list, and one count.
+    """
+    lists = collect_top(keep_top(totalled, group, item, measure, n, "first"), group, item, measure, alias, measure_alias)
+    last = keep_top(totalled, group, item, measure, n, "first").groupBy(*group).agg(F.max_by(measure, RANK).alias("__cut"), F.count(F.lit(1)).alias("__listed"))
+
+    def same(names: Sequence[str]):
+        return reduce(and_, [F.col(name).eqNullSafe(F.col(own)) for name, own in zip(group, names)])
+
+    cut = last.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)], "__cut", "__listed")
+    keys = [f"__g{i}" for i in range(len(group))]
+    # A null at the cut ranks last: then every item of the group shares a kept rank.
+    at_least = totalled.join(cut, same(keys)).filter(F.col("__cut").isNull() | (F.col(measure) >= F.col("__cut")))
+    ties = at_least.groupBy(*keys).agg((F.count(F.lit(1)) - F.max("__listed")).alias(more))
+    return lists.join(ties, same(keys)).drop(*keys)

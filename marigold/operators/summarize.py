@@ -18,13 +18,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from marigold.functions.exact import high_sum, joined, low_sum, minor_digits_of, minor_units
 
 _ROWS = "__rows"
-_STATE = re.compile(r"__(?:rows$|sum_|count_|high\d_|low\d_)")
+_STATE = re.compile(r"__(?:rows$|sum_|count_|tally_|high\d_|low\d_)")
 
 
 @dataclass(frozen=True)
 class Measures:
     """What to report per group: output name to input column for sums and means, a name for the row count.
 
+    ``tallies`` names conditions whose rows are counted beside the measures, for the report of a job.
     ``minor_digits`` declares how many decimal digits the double inputs have, for all or column by column, which
     makes their sums exact. A value with more digits than declared is an error.
     """
@@ -33,6 +34,7 @@ class Measures:
     means: Mapping[str, str] = field(default_factory=dict)
     rows: str | None = None
     minor_digits: int | Mapping[str, int] | None = None
+    tallies: Mapping[str, Column] = field(default_factory=dict)
 
     def digits_of(self, column: str) -> int | None:
         return self.minor_digits.get(column) if isinstance(self.minor_digits, Mapping) else self.minor_digits
@@ -55,6 +57,7 @@ class Measures:
         state += [F.count(c).alias(f"__count_{c}") for c in dict.fromkeys(self.means.values())]
         if self.rows:
             state.append(F.count(F.lit(1)).alias(_ROWS))
+        state += [F.count_if(condition).alias(f"__tally_{name}") for name, condition in self.tallies.items()]
         return state
 
     def report(self, state: DataFrame) -> list[Column]:
@@ -70,7 +73,7 @@ class Measures:
         for name, column in self.means.items():
             total = total_of(state, column).cast("double")
             shown.append(F.try_divide(total, F.col(f"__count_{column}")).alias(name))
-        return shown
+        return shown + [F.col(f"`__tally_{name}`").alias(name) for name in self.tallies]
 
 
 def total_of(state: DataFrame, column: str, take: Callable[[str], Column] = F.col) -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from marigold.functions.bands import positive_flag
 from marigold.functions.calendar import DAY_FORMAT, day_in_zone, parse_day, with_calendar
@@ -41,15 +42,23 @@ def weather_daily(
     at: str = "date",
     rows: str | None = None,
     minor_digits: int | None = None,
+    tallies: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Hourly readings to one row per city and calendar day in ``zone``; ``rows`` adds their number.
 
+    Readings whose time is none end in a row without a day, which a job counts and leaves out. ``tallies`` adds how
+    many readings of each row fulfil a condition: such counts are part of the aggregate's state, so they can be summed
+    up behind the shuffle.
+
     Partial aggregation runs before the one shuffle, so a city with most of the readings costs no more
     than its days.
     """
     require(readings, [city, at, *READINGS.inputs], "weather")
-    hourly = readings.select(F.col(city).alias("city"), day_in_zone(readings, at, zone).alias("date"), *READINGS.inputs)
-    daily = summarize(hourly, ["city", "date"], replace(READINGS, rows=rows, minor_digits=minor_digits))
+    flags = {name: (f"__is{i}", condition) for i, (name, condition) in enumerate((tallies or {}).items())}
+    day = day_in_zone(readings, at, zone).alias("date")
+    hourly = readings.select(F.col(city).alias("city"), day, *READINGS.inputs, *[c.alias(flag) for flag, c in flags.values()])
+    counted = {name: F.col(flag) for name, (flag, _) in flags.items()}
+    daily = summarize(hourly, ["city", "date"], replace(READINGS, rows=rows, minor_digits=minor_digits, tallies=counted))
     flagged = daily.withColumn("rain_flag", positive_flag(F.col("total_precip_mm")))
     return with_calendar(flagged, "date").withColumns(
         {

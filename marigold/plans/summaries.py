@@ -5,22 +5,25 @@ one pre-aggregate, which jobs stage so that the fact is scanned and shuffled onc
 
 Money that is stored as decimal adds up exactly. For money that is stored as double, ``minor_digits`` says how
 many decimal digits it has and makes its totals exact too; without it doubles are added as they are.
+
+``rows`` names a further column: how many input rows each output row stands for, so that the sum over the output is the
+number of rows that were read. Jobs observe it with their write.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import replace
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marigold.functions.bands import HUMIDITY, TEMPERATURE, band, positive_flag
 from marigold.functions.calendar import with_calendar
 from marigold.operators.checks import DAY, NUMBER, require
 from marigold.operators.enrich import enrich, match_report, unmatched_sample
-from marigold.operators.ranking import collect_top, keep_top, top_label
+from marigold.operators.ranking import bounded_top, collect_top, keep_top, top_label
 from marigold.operators.summarize import Measures, preaggregate, reported, roll_up, summarize, total_of
 
 TOP_PRODUCTS = 5
@@ -55,53 +58,89 @@ def _named(keys: list[str]) -> Column:
     return reduce(and_, [F.col(key).isNotNull() for key in keys])
 
 
+FESTIVAL_KEYS = ["festival", "product_category", "year"]
+PLACE_KEYS = ["state", "city", "latitude", "longitude", "year"]
+
+
+def festival_fine(sales: DataFrame, minor_digits: int | None = None, more: Sequence[str] = ()) -> DataFrame:
+    """The pre-aggregate behind ``festival_category_summary``: one state row per product of each category."""
+    keys = [*FESTIVAL_KEYS, "product", *more]
+    require(sales, {**dict.fromkeys(keys), **dict.fromkeys(SALES.inputs, NUMBER)}, "products")
+    return preaggregate(sales, keys, replace(SALES_AND_ROWS, minor_digits=minor_digits))
+
+
 def festival_category_summary(
     sales: DataFrame,
     n: int = TOP_PRODUCTS,
     ties: str = "all",
     share: Share = lambda df: df,
     minor_digits: int | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Totals per festival, category and year, each with the top products of its festival and year.
 
     The plan is lazy, so that filters on it reach the scan; it evaluates the pre-aggregate twice. A job passes a
     ``share`` that writes it once.
     """
-    keys = ["festival", "product_category", "year"]
+    return festival_category_from_fine(share(festival_fine(sales, minor_digits)), n, ties, rows)
+
+
+def festival_category_from_fine(fine: DataFrame, n: int = TOP_PRODUCTS, ties: str = "all", rows: str | None = None) -> DataFrame:
+    """The summary from state rows of products.
+
+    With ``ties="bounded"`` a list never holds more than ``n`` products, and ``more_ties`` says how many others have
+    the total of a listed one's rank; the other rules keep or drop them as ``keep_top`` says.
+    """
     group = ["festival", "year"]
-    require(sales, {**dict.fromkeys([*keys, "product"]), **dict.fromkeys(SALES.inputs, NUMBER)}, "products")
-    fine = share(preaggregate(sales, [*keys, "product"], replace(SALES, minor_digits=minor_digits)))
-    per_category = reported(roll_up(fine, keys), keys, SALES)
+    per_category = reported(roll_up(fine, FESTIVAL_KEYS), FESTIVAL_KEYS, replace(SALES, rows=rows))
     revenue = total_of(fine, "revenue_INR", F.sum)
     per_product = fine.filter(_named(group)).groupBy(*group, "product").agg(revenue.alias("product_revenue"))
-    top = keep_top(per_product, group, "product", "product_revenue", n, ties)
-    lists = collect_top(top, group, "product", "product_revenue", "top_products", "revenue")
+    if ties == "bounded":
+        lists = bounded_top(per_product, group, "product", "product_revenue", n, "top_products", "revenue")
+    else:
+        top = keep_top(per_product, group, "product", "product_revenue", n, ties)
+        lists = collect_top(top, group, "product", "product_revenue", "top_products", "revenue")
     return per_category.join(lists, group, "left")
 
 
+def geo_fine(sales: DataFrame, minor_digits: int | None = None, more: Sequence[str] = ()) -> DataFrame:
+    """The pre-aggregate behind ``geo_summary``: one state row per category of each place."""
+    keys = [*PLACE_KEYS, "product_category", *more]
+    require(sales, {**dict.fromkeys(keys), **dict.fromkeys(SALES.inputs, NUMBER)}, "products")
+    return preaggregate(sales, keys, replace(SALES_AND_ROWS, minor_digits=minor_digits))
+
+
 def geo_summary(
-    sales: DataFrame, ties: str = "all", share: Share = lambda df: df, minor_digits: int | None = None
+    sales: DataFrame, ties: str = "all", share: Share = lambda df: df, minor_digits: int | None = None, rows: str | None = None
 ) -> DataFrame:
     """Totals per place and year with the category that sells best in the city.
 
     Tied best categories give one row each, with the totals repeated, unless ``ties="first"``.
     """
-    keys = ["state", "city", "latitude", "longitude", "year"]
+    return geo_from_fine(share(geo_fine(sales, minor_digits)), ties, rows)
+
+
+def geo_from_fine(fine: DataFrame, ties: str = "all", rows: str | None = None) -> DataFrame:
+    """The summary from state rows of categories. Where ties repeat a place, its first row stands for the input rows."""
     group = ["state", "city", "year"]
-    require(sales, {**dict.fromkeys([*keys, "product_category"]), **dict.fromkeys(SALES.inputs, NUMBER)}, "products")
-    fine = share(preaggregate(sales, [*keys, "product_category"], replace(SALES, minor_digits=minor_digits)))
-    per_place = reported(roll_up(fine, keys), keys, SALES)
+    per_place = reported(roll_up(fine, PLACE_KEYS), PLACE_KEYS, replace(SALES, rows=rows))
     revenue = total_of(fine, "revenue_INR", F.sum)
     per_category = fine.filter(_named(group)).groupBy(*group, "product_category").agg(revenue.alias("category_revenue"))
     best = top_label(per_category, group, "product_category", "category_revenue", "top_category", ties)
-    return per_place.join(best, group, "left")
+    if rows is None:
+        return per_place.join(best, group, "left")
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("top_category"))
+    joined = per_place.join(best.withColumn("__place", place), group, "left")
+    return joined.withColumn(rows, F.when(F.coalesce("__place", F.lit(1)) == 1, F.col(rows)).otherwise(0)).drop("__place")
+
+
+VENDOR_KEYS = ["vendor_type", "payment_methods", "year"]
 
 
-def payment_vendor_summary(sales: DataFrame, minor_digits: int | None = None) -> DataFrame:
+def payment_vendor_summary(sales: DataFrame, minor_digits: int | None = None, rows: str | None = None) -> DataFrame:
     """Totals and mean discount per vendor type, payment methods and year."""
-    keys = ["vendor_type", "payment_methods", "year"]
-    require(sales, {**dict.fromkeys(keys), **dict.fromkeys(VENDOR.inputs, NUMBER)}, "products")
-    return summarize(sales, keys, replace(VENDOR, minor_digits=minor_digits))
+    require(sales, {**dict.fromkeys(VENDOR_KEYS), **dict.fromkeys(VENDOR.inputs, NUMBER)}, "products")
+    return summarize(sales, VENDOR_KEYS, replace(VENDOR, minor_digits=minor_digits, rows=rows))
 
 
 def sales_days_with_weather(
@@ -122,7 +161,7 @@ def sales_days_with_weather(
     return enrich(days, readings, {"city": "city", "join_date": "weather_date"}, measures)
 
 
-def weather_sales_from_days(days: DataFrame, unknown_label: str | None = None) -> DataFrame:
+def weather_sales_from_days(days: DataFrame, unknown_label: str | None = None, rows: str | None = None) -> DataFrame:
     """Totals per city, day and weather bands from the rows of ``sales_days_with_weather``.
 
     The grouping keys contain the join keys, so the rows already lie where they are needed.
@@ -135,7 +174,7 @@ def weather_sales_from_days(days: DataFrame, unknown_label: str | None = None) -
             "rain_flag": positive_flag(F.col("total_precip_mm")),
         }
     )
-    return reported(roll_up(banded, keys), keys, SALES)
+    return reported(roll_up(banded, keys), keys, replace(SALES, rows=rows))
 
 
 def weather_sales_summary(

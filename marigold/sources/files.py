@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,6 +11,8 @@ from marigold.sources.tables import uri
 
 # The file types a listing shows.
 DATA_SUFFIXES = (".parquet", ".csv")
+# So many chosen files at most are handed to a reader by their paths; more are found by their key during one scan.
+MOST_PATHS = 10_000
 
 
 def with_file_key(scan: DataFrame, name: str, pattern: str = FILE_STEM, underscore_as_space: bool = False) -> DataFrame:
@@ -60,9 +62,11 @@ def match_names(names: DataFrame, column: str, keyed: DataFrame, key: str, path:
     )
 
 
-def choose_files(spark: SparkSession, folder: str, names: DataFrame, column: str, pattern: str = FILE_STEM) -> DataFrame:
-    """The files in ``folder`` itself that a list of names asks for, one row per name."""
-    listing = list_files(spark, uri(folder), (".csv",), recursive=False)
+def choose_files(
+    spark: SparkSession, folder: str, names: DataFrame, column: str, pattern: str = FILE_STEM, recursive: bool = False
+) -> DataFrame:
+    """The files in ``folder`` itself (or, ``recursive``, below it) that a list of names asks for, one row per name."""
+    listing = list_files(spark, uri(folder), (".csv",), recursive)
     keyed = listing.withColumn("key", key_in_path(F.col("path"), pattern))
     return match_names(names, column, keyed, "key", "path")
 
@@ -73,6 +77,32 @@ def chosen_paths(chosen: DataFrame) -> list[str]:
     return sorted(row.path for row in rows)
 
 
+def read_chosen(
+    read: Callable[[list[str], str], DataFrame],
+    chosen: DataFrame,
+    read_all: Callable[[str], DataFrame],
+    key: str,
+    underscore_as_space: bool = False,
+    most_paths: int = MOST_PATHS,
+) -> DataFrame | None:
+    """The rows of the files of ``choose_files`` with their key; None if there is no such file.
+
+    ``read`` scans a list of paths, ``read_all`` every file there is; both add the key of each file under the name they
+    are given. Up to ``most_paths`` files come to the driver as a list, so that no other file is opened. Beyond, all
+    files are scanned and rows are kept by their key: the driver then holds no list, however many names there are.
+    """
+    found = chosen.filter(F.col("path").isNotNull()).select("path", F.col("key").alias("__chosen")).distinct()
+    some = sorted({row.path for row in found.limit(most_paths + 1).collect()})
+    if not some:
+        return None
+    if len(some) <= most_paths:
+        kept = read(some, "__key")
+    else:
+        kept = read_all("__key").join(found.select("__chosen").distinct(), F.col("__key") == F.col("__chosen"), "left_semi")
+    shown = F.replace(F.col("__key"), F.lit("_"), F.lit(" ")) if underscore_as_space else F.col("__key")
+    return kept.withColumn(key, shown).drop("__key")
+
+
 def keep_listed(rows: DataFrame, key: str, names: DataFrame, column: str, listed: bool = True) -> DataFrame:
     """Rows whose key is on the list in either spelling, or with ``listed=False`` those whose key is not."""
     wanted = listed_names(names, column)

@@ -36,18 +36,20 @@ def write_table(
     header: bool = True,
     metrics: Mapping[str, Column] | None = None,
     hidden: Sequence[str] = (),
+    keep: Column | None = None,
 ) -> Written:
     """Overwrite ``path`` and count what is written, in one action.
 
     ``metrics`` are further aggregates to observe on the way; they may use ``hidden`` columns, which are
-    observed but not written. The observation sits behind the last shuffle: there each row counts once
+    observed but not written. Rows that ``keep`` is not true for are observed too, but neither written nor counted as
+    rows. The observation sits behind the last shuffle: there each row counts once
     even when lost executors make tasks run again, which does not hold for counts taken before a shuffle.
     With ``dynamic`` only the partition folders that occur in ``df`` are replaced.
     """
     observation = Observation()
     wanted = [value.alias(name) for name, value in (metrics or {}).items()]
-    tallied = spread_by(df, partition_by).observe(observation, F.count(F.lit(1)).alias("rows"), *wanted)
-    visible = tallied.drop(*hidden)
+    tallied = spread_by(df, partition_by).observe(observation, (F.count(F.lit(1)) if keep is None else F.count_if(keep)).alias("rows"), *wanted)
+    visible = (tallied if keep is None else tallied.filter(keep)).drop(*hidden)
     writer = visible.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", header)

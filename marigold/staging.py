@@ -45,6 +45,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def delete_folder(spark: SparkSession, path: str, parent: bool = False) -> None:
+    """Delete a folder (or, with ``parent``, the one it lies in) in whatever store it is; a missing one is no error."""
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    folder = folder.getParent() if parent else folder
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 class Staging:
     """Tables staged for one job, deleted when it ends: ``with Staging(spark) as share: ... share(df)``."""
 
@@ -61,10 +69,8 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __exit__(self, *_) -> None:
-        sc = self.spark.sparkContext
         for path in self.paths:
-            folder = sc._jvm.org.apache.hadoop.fs.Path(path).getParent()
-            folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
+            delete_folder(self.spark, path, parent=True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

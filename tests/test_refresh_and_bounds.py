@@ -1,0 +1,310 @@
+"""Refreshing what changed, counting with the write, results of bounded size, other stores, and the command line."""
+
+from __future__ import annotations
+
+import json
+from collections import Counter
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from marigold.operators import explore
+from marigold.operators.ranking import bounded_top
+from marigold.plans import jobs, refresh, summaries
+from marigold.plans.jobs import Layout
+from marigold.plans.refresh import FOLLOWED
+from marigold.sources.files import choose_files, list_files, read_chosen, with_file_key
+from marigold.sources.mounts import mount
+from marigold.sources.sinks import write_parquet, write_table
+from marigold.sources.tables import read_csv, read_parquet, uri
+from marigold.staging import Staging
+from workload.star import readings, sales
+
+
+def files_of(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+def rows_of(df):
+    return Counter(map(str, df.select(*sorted(df.columns)).collect()))
+
+
+@pytest.fixture
+def base(spark, tmp_path):
+    """Both masters for three months of two years, small enough to follow by eye."""
+    rows = [
+        (f"item{i % 5}", f"cat{i % 3}", f"fest{i % 2}", date(2024 + i % 2, 1 + i % 3, 1 + i % 28), i + 0.25, 1 + i % 4, 5.5, i % 30, 4.0,
+         f"state{i % 2}", f"city{i % 4}", 1.0, 2.0, "Online" if i % 2 else "Shop", "UPI")
+        for i in range(300)
+    ]
+    names = ["product", "product_category", "festival", "festival_date", "revenue_INR", "units_sold", "price_INR", "discount_pct", "seller_rating",
+             "state", "city", "latitude", "longitude", "vendor_type", "payment_methods"]
+    df = spark.createDataFrame(rows, names).withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("revenue_INR", "price_INR", "seller_rating")})
+    df = df.withColumn("units_sold", F.col("units_sold").cast("int"))
+    df = df.withColumns({"year": F.year("festival_date"), "month": F.month("festival_date"), "day": F.dayofmonth("festival_date")})
+    layout = Layout(str(tmp_path))
+    write_parquet(df, layout.master("products"), ["year", "month"])
+    days = df.select("city", F.col("festival_date").alias("date"), "year", "month", "day").distinct().filter("city <> 'city3'")
+    weather = days.withColumns({"avg_temp_C": F.lit(20.0), "avg_humidity_pct": F.lit(50.0), "total_precip_mm": F.lit(0.0), "rain_flag": F.lit(False)})
+    write_parquet(weather, layout.master("weather_daily"), ["year", "month"])
+    return layout, df
+
+
+@pytest.mark.parametrize("job", sorted(FOLLOWED))
+def test_refresh_equals_the_whole_job(spark, base, job):
+    layout, _ = base
+    report = refresh.refresh(spark, layout, job)
+    assert (report.status, report.input_rows, len(report.findings["changed"])) == ("done", 300, 6)
+    refreshed = rows_of(read_parquet(spark, layout.summary(job)))
+    jobs.JOBS[job](spark, layout)
+    assert refreshed == rows_of(read_parquet(spark, layout.summary(job)))
+    assert refresh.refresh(spark, layout, job).status == "unchanged"
+
+
+@pytest.mark.parametrize("job", sorted(FOLLOWED))
+def test_only_what_changed_is_written(spark, base, tmp_path, job):
+    layout, df = base
+    refresh.refresh(spark, layout, job)
+    month = df.filter("year = 2025 and month = 2").withColumn("units_sold", F.col("units_sold") + 1)
+    write_parquet(month, layout.master("products"), ["year", "month"], dynamic=True)
+    before = files_of(tmp_path / "processed" / "summary" / job)
+    state = files_of(tmp_path / "processed" / "state" / job)
+    report = refresh.refresh(spark, layout, job)
+    assert report.findings["changed"] == ["year=2025/month=2"] and report.input_rows == month.count()
+    after = files_of(tmp_path / "processed" / "summary" / job)
+    by = jobs.PARTITIONS[job]
+    part = "year=2025/month=2" if by == ("year", "month") else "year=2025" if by else ""
+    assert {p for p in before if part not in p} == {p for p in after if part not in p} and all(before[p] == after[p] for p in before if part not in p)
+    assert not {p for p in before if part in p} & set(after)
+    assert {p for p, t in state.items() if "year=2025/month=2" not in p} <= set(files_of(tmp_path / "processed" / "state" / job))
+    refreshed = rows_of(read_parquet(spark, layout.summary(job)))
+    jobs.JOBS[job](spark, layout)
+    assert refreshed == rows_of(read_parquet(spark, layout.summary(job)))
+
+
+def test_months_that_are_gone_leave_the_summary(spark, base, tmp_path):
+    layout, df = base
+    for job in FOLLOWED:
+        refresh.refresh(spark, layout, job)
+    write_parquet(df.filter("year = 2024 and month < 3"), layout.master("products"), ["year", "month"])
+    for job in FOLLOWED:
+        report = refresh.refresh(spark, layout, job)
+        assert report.findings["gone"] == ["year=2024/month=3"] + [f"year=2025/month={m}" for m in (1, 2, 3)]
+        refreshed = rows_of(read_parquet(spark, layout.summary(job)))
+        jobs.JOBS[job](spark, layout)
+        assert refreshed == rows_of(read_parquet(spark, layout.summary(job))), job
+
+
+def test_a_period_bounds_the_work_and_leaves_the_rest_for_later(spark, base):
+    layout, df = base
+    report = refresh.refresh(spark, layout, "overall_kpis", date(2024, 2, 10), date(2024, 12, 31))
+    assert report.findings["changed"] == ["year=2024/month=2", "year=2024/month=3"]
+    assert {r.month for r in read_parquet(spark, layout.summary("overall_kpis")).collect()} == {2, 3}
+    assert len(refresh.refresh(spark, layout, "overall_kpis").findings["changed"]) == 4
+    assert read_parquet(spark, layout.summary("overall_kpis")).select(F.sum("total_tx")).first()[0] == 300
+
+
+def test_rows_without_a_day_are_a_month_of_their_own(spark, base):
+    layout, df = base
+    none = df.limit(7).withColumns({c: F.lit(None).cast(df.schema[c].dataType) for c in ("festival_date", "year", "month", "day")})
+    write_parquet(df.unionByName(none), layout.master("products"), ["year", "month"])
+    report = refresh.refresh(spark, layout, "payment_vendor_summary")
+    assert report.input_rows == 307 and len(report.findings["changed"]) == 7
+    refreshed = rows_of(read_parquet(spark, layout.summary("payment_vendor_summary")))
+    jobs.run_payment_vendor_summary(spark, layout)
+    assert refreshed == rows_of(read_parquet(spark, layout.summary("payment_vendor_summary")))
+
+
+def test_unknown_summary_is_refused(spark, base):
+    with pytest.raises(ValueError):
+        refresh.refresh(spark, base[0], "nothing")
+
+
+# --- counts with the write ---------------------------------------------------------------------------
+
+
+def executions(spark) -> int:
+    return spark._jsparkSession.sharedState().statusStore().executionsCount()
+
+
+@pytest.mark.parametrize("job,actions", [("overall_kpis", 1), ("payment_vendor_summary", 1), ("festival_category_summary", 2), ("geo_summary", 2), ("weather_sales_summary", 4)])
+def test_counting_costs_no_action(spark, base, job, actions):
+    """One action writes; where two aggregates share a pre-aggregate, one more stages it. The weather job reads its report and writes a sample."""
+    layout, _ = base
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    before = executions(spark)
+    report = jobs.JOBS[job](spark, layout)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    assert report.input_rows == 300
+    assert executions(spark) - before == actions
+
+
+def test_tied_best_categories_do_not_count_twice(spark):
+    rows = spark.createDataFrame([("s", "c", 1.0, 1.0, 2024, f"cat{i}", 5.0, 1, 1.0) for i in range(3)], "state string, city string, latitude double, longitude double, year int, product_category string, revenue_INR double, units_sold int, price_INR double")
+    out = summaries.geo_summary(rows, rows="n")
+    assert out.count() == 3 and out.select(F.sum("n")).first()[0] == 3
+
+
+def test_a_period_prunes_the_scan_of_a_job(spark, base):
+    layout, df = base
+    report = jobs.run_overall_kpis(spark, layout, date(2025, 1, 1), date(2025, 2, 28))
+    assert report.input_rows == df.filter("year = 2025 and month < 3").count()
+    plan = jobs._sales(spark, layout, date(2025, 1, 1), date(2025, 2, 28))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+# --- bounded results ---------------------------------------------------------------------------------
+
+
+def test_a_list_of_equal_products_is_bounded_and_the_rest_counted(spark):
+    rows = spark.range(3000).select(F.lit("g").alias("g"), F.format_string("p%04d", "id").alias("p"), F.lit(1).alias("m"))
+    rows = rows.union(spark.createDataFrame([("h", "a", 5), ("h", "b", 3), ("h", "c", 3), ("h", "d", 3), (None, "z", 1), ("i", "n", None), ("i", "o", None), ("i", "q", 2)], "g string, p string, m int"))
+    got = {r.g: ([(x.p, x.v) for x in r.top], r.more) for r in bounded_top(rows, ["g"], "p", "m", 5, "top", "v", "more").collect()}
+    assert got["g"] == ([(f"p{i:04d}", 1.0) for i in range(5)], 2995)
+    assert got["h"] == ([("a", 5.0), ("b", 3.0), ("c", 3.0), ("d", 3.0)], 0)
+    assert got[None] == ([("z", 1.0)], 0)
+    assert got["i"] == ([("q", 2.0), ("n", None), ("o", None)], 0)
+    got = {r.g: ([x.p for x in r.top], r.more) for r in bounded_top(rows, ["g"], "p", "m", 2, "top", "v", "more").collect()}
+    assert got["h"] == (["a", "b"], 2) and got["i"] == (["q", "n"], 1)
+
+
+def test_bounded_summary(spark, base):
+    _, df = base
+    bounded = summaries.festival_category_summary(df, n=2, ties="bounded")
+    assert all(len(r.top_products) <= 2 for r in bounded.collect())
+    plain = summaries.festival_category_summary(df, n=2)
+    assert {(r.festival, r.year, len(r.top_products)) for r in plain.collect()} == {(r.festival, r.year, len(r.top_products) + r.more_ties) for r in bounded.collect()}
+
+
+def test_sample_is_the_same_however_the_rows_lie(spark):
+    rows = sales(spark, "/root/testdata/sf0.001", "product_id", "units_sold", "revenue_INR", "festival")
+    first = explore.scatter_sample(rows, "units_sold", "revenue_INR", "festival", 50)
+    again = explore.scatter_sample(rows.repartition(7).orderBy(F.rand(3)), "units_sold", "revenue_INR", "festival", 50)
+    assert rows_of(first) == rows_of(again)
+    n = {r.festival: r.n for r in rows.groupBy("festival").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for r in first.groupBy("festival").agg(F.count(F.lit(1)).alias("k"), F.max("share").alias("s")).collect():
+        assert r.k == 50 and r.s == pytest.approx(50 / n[r.festival])
+
+
+def test_sample_of_few_is_all_of_them(spark):
+    rows = spark.createDataFrame([(1, 2, "a"), (1, 2, "a"), (3, None, None), (None, 4, "")], "x int, y int, c string")
+    got = explore.scatter_sample(rows, "x", "y", "c", 10)
+    assert rows_of(got.drop("share")) == rows_of(rows) and {r.share for r in got.collect()} == {1.0}
+    assert explore.scatter_sample(rows, "x", "y", "c", 1).count() == 3
+    assert explore.scatter_sample(rows.limit(0), "x", "y").count() == 0
+    with pytest.raises(ValueError):
+        explore.scatter_sample(rows, "x", "y", n=0)
+    with pytest.raises(ValueError):
+        explore.scatter_sample(rows, "x", "c")
+
+
+def test_sample_ranks_few_rows(spark):
+    """Of a million rows, only those up to the last chosen slot reach the window."""
+    rows = spark.range(1_000_000).select((F.col("id") % 100).alias("x"), F.col("id").alias("y"))
+    got = explore.scatter_sample(rows, "x", "y", n=1000, keys=["y"])
+    assert got.count() == 1000
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "cartesian" not in plan.lower()
+
+
+def test_first_values_run_nothing_until_asked(spark):
+    tables = {"t": spark.createDataFrame([(2, [1, 2]), (1, None)], "a int, l array<int>"), "none": spark.createDataFrame([], "b string, s struct<x:int>")}
+    spark.sparkContext.setJobGroup("looking", "")
+    found = explore.first_values(tables, {"t": ["a"], "none": ["b"]}, 1)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("looking")) == []
+    got = {(r.table_name, r.position, r.column_name, r.column_type, r.row_number, r.value) for r in found.collect()}
+    assert got == {("t", 0, "a", "int", 1, "1"), ("t", 1, "l", "array<int>", 1, None), ("none", 0, "b", "string", None, None), ("none", 1, "s", "struct<x:int>", None, None)}
+
+
+# --- chosen files and other stores -------------------------------------------------------------------
+
+
+def test_many_names_come_to_the_driver_as_no_list(spark, tmp_path):
+    folder = tmp_path / "Cities"
+    folder.mkdir()
+    for i in range(30):
+        (folder / f"City_{i}.csv").write_text("date,t\n2024-01-01,1\n")
+    names = spark.range(100_000).select(F.concat(F.lit("City "), F.col("id").cast("string")).alias("n")).filter("n <> 'City 3'")
+    chosen = choose_files(spark, str(folder), names, "n")
+
+    def read(paths, key):
+        return with_file_key(read_csv(spark, paths), key)
+
+    listed = read_chosen(read, chosen, None, "city", underscore_as_space=True)
+    keyed = read_chosen(None, chosen, lambda key: read(f"{folder}/*.csv", key), "city", underscore_as_space=True, most_paths=5)
+    assert rows_of(listed) == rows_of(keyed) and listed.count() == 29
+    assert read_chosen(read, chosen.limit(0), None, "city") is None
+
+
+def test_jobs_through_a_mount_table(spark, tmp_path):
+    """Sink, listing, choice of files, staging and its clean-up under another scheme than the local one."""
+    home = mount(spark, {"data": str(tmp_path / "store"), "raw": "/root/testdata/sf0.001"})
+    assert home.startswith("viewfs://")
+    write_table(readings(spark, uri(home, "raw")).withColumn("date", F.date_format("date", "yyyy-MM-dd HH:mm:ss")), uri(home, "data/cities"), "csv", partition_by=["city"])
+    pattern = r"city=([^/]+)/[^/]+\.csv$"
+    names = spark.createDataFrame([("NATION 3",), ("NATION 4",), ("Nowhere",)], "n string")
+    chosen = choose_files(spark, uri(home, "data/cities"), names, "n", pattern, recursive=True)
+    assert {r.name: bool(r.path and r.path.startswith("viewfs:")) for r in chosen.collect()} == {"NATION 3": True, "NATION 4": True, "Nowhere": False}
+    layout = Layout(uri(home, "data"))
+    report = jobs.build_weather_daily(spark, layout, source="cities/*/*.csv", pattern=pattern)
+    assert report.output.rows == read_parquet(spark, layout.master("weather_daily")).count() > 0
+    assert any((tmp_path / "store" / "processed" / "master" / "weather_daily").rglob("*.parquet"))
+    assert list_files(spark, layout.master("weather_daily")).count() > 0
+    with Staging(spark) as share:
+        share.paths.append(uri(home, "data/staged/part"))
+        write_parquet(spark.range(3).toDF("n"), share.paths[0])
+        assert (tmp_path / "store" / "staged").exists()
+    assert not (tmp_path / "store" / "staged").exists()
+
+
+# --- command line ------------------------------------------------------------------------------------
+
+
+def run_main(capsys, *argv):
+    from marigold.__main__ import main
+
+    main([*argv])
+    return json.loads(capsys.readouterr().out)[0]
+
+
+def test_options_reach_the_jobs(spark, base, capsys):
+    home = base[0].base
+    report = run_main(capsys, "overall_kpis", "--base", home, "--start", "2025-01-01", "--end", "2025-01-31")
+    assert report["input_rows"] == base[1].filter("year = 2025 and month = 1").count()
+    report = run_main(capsys, "festival_category_summary", "--base", home, "--ties", "bounded")
+    assert "more_ties" in report["output"]["schema"]
+    report = run_main(capsys, "weather_sales_summary", "--base", home, "--unknown-label", "none")
+    assert {r.temp_bucket for r in read_parquet(spark, Layout(home).summary("weather_sales_summary")).collect()} == {"15-25", "none"}
+    assert run_main(capsys, "refresh_geo_summary", "--base", home)["status"] == "done"
+
+
+def test_exploration_jobs(spark, base, capsys):
+    home = base[0].base
+    jobs.run_payment_vendor_summary(spark, base[0])
+    table = "processed/summary/payment_vendor_summary"
+    assert len(run_main(capsys, "preview", "--base", home, "--source", table, "--shown", "2")["findings"]["rows"]) == 2
+    assert len(run_main(capsys, "metric_cards", "--base", home, "--source", table)["findings"]["cards"]) == 4
+    for job, more in {
+        "bar_data": ["--x", "vendor_type", "--y", "total_units", "--color", "year"],
+        "share_data": ["--x", "vendor_type", "--y", "total_revenue"],
+        "line_data": ["--x", "year", "--y", "total_revenue", "--color", "vendor_type"],
+        "scatter_data": ["--x", "total_units", "--y", "total_revenue", "--points", "1"],
+        "corr_matrix": [],
+        "distinct_values": ["--column", "vendor_type"],
+        "filter_values": ["--column", "year", "--values", "2024", "--values", "null"],
+    }.items():
+        report = run_main(capsys, job, "--base", home, "--source", table, "--target", f"explored/{job}", *more)
+        assert report["status"] == "done" and report["output"]["rows"] > 0, job
+    assert {r.year for r in read_parquet(spark, f"{home}/explored/filter_values").collect()} == {2024}
+    assert run_main(capsys, "preview", "--base", home, "--source", "none.csv")["status"] == "missing"
+
+
+@pytest.mark.parametrize("argv", [["geo_summary", "--x", "a"], ["bar_data", "--source", "t"], ["refresh_geo_summary", "--ties", "first"], ["masters", "--zone", "UTC"], ["preview"]])
+def test_wrong_options_are_usage_errors(argv):
+    from marigold.__main__ import main
+
+    with pytest.raises(SystemExit) as stopped:
+        main([*argv, "--base", "/nowhere"])
+    assert stopped.value.code == 2

@@ -117,8 +117,8 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return rows.select(*[computed[name].alias(name) if name in computed else name for name in every if name in wanted])
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weather readings made of events, one each: city, time and three measures. No event is on a 31st."""
+def readings(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Weather readings made of events, one each: city, time, three measures and ``more`` columns of the event. No event is on a 31st."""
     hundredths = F.floor(F.col("value") * 100 + 0.5)
     return (
         table(spark, sf_dir, "events")
@@ -128,5 +128,6 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
             (hundredths / 200).alias("temperature_2m"),
             (20 + (F.col("user_id") * 7 + F.col("event_id")) % 61).alias("relative_humidity_2m"),
             F.when(F.col("event_type") == "error", hundredths / 100).otherwise(F.lit(0.0)).alias("precipitation"),
+            *more,
         )
     )
