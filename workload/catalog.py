@@ -20,6 +20,7 @@ from marigold.sources.sinks import export_csv as write_csv, write_parquet, write
 from marigold.sources.tables import read_csv, read_parquet, uri
 from marigold.staging import scratch_path
 
+from workload.job_catalog import JOB_QUERIES
 from workload.star import MONEY_DIGITS, READING_DIGITS, readings, sales, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -406,4 +407,4 @@ QUERIES: dict[str, Query] = {
         band_humidity, inspect_columns, preview_text, preview_daily, metric_cards, bar_data, share_data, line_data, scatter_data,
         corr_matrix, distinct_values, filter_values,
     )
-}
+} | JOB_QUERIES
