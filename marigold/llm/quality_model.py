@@ -93,11 +93,30 @@ class Reader:
         return out
 
 
-def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Weights and offset of a logistic model, by Adam's rule on all rows."""
-    scale = x.std(axis=0) + 1e-3
-    mean = x.mean(axis=0)
-    x = (x - mean) / scale
+def matrix(table: pa.Table, width: int) -> np.ndarray:
+    """The vectors of a column of half-precision rows, written batch by batch into one array."""
+    x, at = np.empty((len(table), width), dtype=np.float32), 0
+    for chunk in table["x"].chunks:
+        for raw in chunk:
+            x[at] = np.frombuffer(raw.as_buffer(), dtype="<f2")
+            at += 1
+    return x
+
+
+def standardise(x: np.ndarray, rows: int = 1024) -> tuple[np.ndarray, np.ndarray]:
+    """Shift and scale the columns in place; returns what was taken off and divided by."""
+    mean = x.mean(axis=0, dtype=np.float64)
+    squares = np.zeros(x.shape[1])
+    for i in range(0, len(x), rows):
+        squares += np.square(x[i : i + rows] - mean).sum(axis=0)
+    scale = np.sqrt(squares / max(1, len(x))) + 1e-3
+    for i in range(0, len(x), rows):
+        x[i : i + rows] = (x[i : i + rows] - mean) / scale
+    return mean, scale
+
+
+def fit(x: np.ndarray, mean: np.ndarray, scale: np.ndarray, y: np.ndarray, rounds: int = 400, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and offset of a logistic model, by Adam's rule on all rows, for features before they were standardised."""
     rate = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     w, b = np.zeros(x.shape[1]), float(np.log(rate / (1 - rate)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -166,11 +185,14 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: in
             raw = [reader.vector(t).astype("<f2").tobytes() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), batch.column(1).cast(pa.int64()), batch.column(2).cast(pa.int64())], names=["x", "quality", "toxic"])
 
+    # At most ``sample`` rows of half-precision vectors, held once in single precision and standardised in place.
     table = rows.mapInArrow(vectors, "x binary, quality long, toxic long").toArrow()
-    x = np.frombuffer(b"".join(table["x"].to_pylist()), dtype="<f2").reshape(len(table), -1).astype(np.float32)
     quality, toxic = table["quality"].to_numpy(), table["toxic"].to_numpy()
+    x = matrix(table, SHAPES + len(vocabulary))
+    del table
     prior = float(np.clip(((quality == 1) & (toxic == 0)).mean(), 1e-3, 1 - 1e-3))
-    return Model(vocabulary, fit(x, (quality == 1).astype(float)), fit(x, (toxic == 1).astype(float)), prior)
+    mean, scale = standardise(x)
+    return Model(vocabulary, fit(x, mean, scale, (quality == 1).astype(float)), fit(x, mean, scale, (toxic == 1).astype(float)), prior)
 
 
 def _shrunk(groups: DataFrame, parent: Column) -> DataFrame:
