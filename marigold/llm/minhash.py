@@ -244,17 +244,19 @@ def group(df: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: in
     return members.join(groups, "component").select("doc_id", "k2", "n_shingles", *least, chosen.alias("kept"))
 
 
-def apart(pairs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``doc_id, k2, text, other`` whose two texts are less similar than ``percent``, without the texts."""
+def alike(pairs: DataFrame, keep: tuple[str, ...], shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The columns in ``keep`` of the rows of ``pairs`` whose ``text`` and ``other`` are as similar as ``percent``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = zip(*(batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3)))
-            far = [not similar(shingles(a, shingle), shingles(b, shingle), percent) for a, b in sides]
-            yield batch.select([0, 1]).filter(pa.array(far, pa.bool_()))
-
-    rows = pairs.select("doc_id", "k2", "text", "other")
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, k2 long")
+            near = []
+            for a, b in zip(batch.column(0), batch.column(1)):
+                x, y = (shingles(t.as_buffer().to_pybytes() if t.is_valid else None, shingle) for t in (a, b))
+                near.append(len(x) > 0 and len(y) > 0 and similar(x, y, percent))
+            yield batch.select(list(range(2, batch.num_columns))).filter(pa.array(near, pa.bool_()))
+
+    rows = pairs.select("text", "other", *keep)
+    return rows.mapInArrow(run, ", ".join(f"{name} {kind}" for name, kind in rows.dtypes[2:]))
 
 
 def deduplicate(df: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
