@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marigold.llm import line_dedup, minhash, mixing, packing, quality_model
-from marigold.llm.text import fresh
 from marigold.staging import stage
 
 
@@ -27,34 +26,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Copies that stand in many sources lose their lines to their first copy. What is left of them is no longer similar
     to it, so near-dedup would take it for a document: such copies go here.
     """
-    (mark,) = fresh(docs, "mark")
-    cleaned = line_dedup.clean(docs.withColumn(mark, F.xxhash64("text")), drop_emptied=True)
-    gone = _torn_copies(docs, cleaned.select(F.col("doc_id").alias("name"), F.col(mark).alias("hash"), "text", F.col(cleaned.columns[-1]).alias("lost")))
-    cleaned = cleaned.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")) & (F.col(mark) == F.col("gone_k2")), "left_anti")
+    cleaned = line_dedup.clean(docs, drop_emptied=True, drop_torn=minhash.PERCENT)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
-def _torn_copies(docs: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """``gone_id, gone_k2``: near-duplicates in ``docs`` that are not similar to the first of their group any more.
-
-    ``cleaned`` has ``name, hash`` (of the text before), ``text, lost`` (lines) of what line dedup left. The first is the
-    least document of the group with words left. Groups that lost no line are as they were.
-    """
-    found = minhash.group(docs)
-    key = ["component_id", "component_k2"]
-    found = stage(found.filter("n_shingles > 0").select("doc_id", "k2", *key, "kept").distinct(), "before")
-    copied = found.filter("not kept").select(F.col("component_id").alias("c_id"), F.col("component_k2").alias("c_k2")).distinct()
-    same = F.col("component_id").eqNullSafe(F.col("c_id")) & (F.col("component_k2") == F.col("c_k2"))
-    members = found.join(copied, same, "left_semi")
-    named = cleaned.join(members, F.col("name").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("k2")))
-    named = stage(named.select("doc_id", "k2", *key, "text", "lost"), "copies")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k2", "text")
-    first = named.groupBy(F.col("component_id").alias("c_id"), F.col("component_k2").alias("c_k2")).agg(F.min(order).alias("first"), F.max("lost").alias("lost"))
-    first = stage(first.filter("lost > 0").select("c_id", "c_k2", F.col("first.text").alias("other")), "first-copies")
-    pairs = named.join(first, same).filter("text <> other")
-    return stage(minhash.apart(pairs).distinct().toDF("gone_id", "gone_k2"), "torn")
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: five-word shingles, similarity of 0.8 or more."""
     return minhash.deduplicate(docs)
