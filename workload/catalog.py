@@ -20,7 +20,7 @@ from marigold.sources.sinks import export_csv as write_csv, write_parquet, write
 from marigold.sources.tables import read_csv, read_parquet, uri
 from marigold.staging import scratch_path
 
-from workload.job_catalog import JOB_QUERIES
+from workload.job_catalog import FIRST_KEYS, JOB_QUERIES
 from workload.star import MONEY_DIGITS, READING_DIGITS, readings, sales, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,10 +28,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SALE_INPUTS = ("revenue_INR", "units_sold", "price_INR")
 FESTIVAL_YEAR = ["festival", "year"]
 CITY_YEAR = ["state", "city", "year"]
-TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
-    "pages", "benchmark", "labels", "conversations",
-)
 CORRELATED = ("revenue_INR", "units_sold", "price_INR", "discount_pct", "seller_rating")
 
 # Where the key sits in a family of files that Spark wrote, one folder per city.
@@ -333,17 +329,11 @@ def band_humidity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inspect_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns and types of every table of the folder, with the first three values of each column."""
-    report = []
-    for name in TABLES:
-        rows = table(spark, sf_dir, name)
-        first = explore.first_rows(rows, 3)
-        report += [
-            (name, position, column, kind, [None if row[column] is None else str(row[column]) for row in first])
-            for position, column, kind in explore.describe_columns(rows)
-        ]
-    columns = "table_name string, position int, column_name string, column_type string, first_values array<string>"
-    return spark.createDataFrame(report, columns)
+    """Columns and types of every table of the folder, with the first three values of each column, as one plan."""
+    values = explore.first_values({name: table(spark, sf_dir, name) for name in FIRST_KEYS}, FIRST_KEYS)
+    ordered = F.sort_array(F.collect_list(F.when(F.col("row_number").isNotNull(), F.struct("row_number", "value"))))
+    shown = F.transform(ordered, lambda entry: entry["value"]).alias("first_values")
+    return values.groupBy("table_name", "position", "column_name", "column_type").agg(shown)
 
 
 def preview_text(spark: SparkSession, sf_dir: str) -> DataFrame:
