@@ -15,7 +15,7 @@ import time
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -24,7 +24,9 @@ from marigold.staging import scratch_path  # noqa: E402
 from workload.catalog import QUERIES  # noqa: E402
 from workload.star import readings, sales, table  # noqa: E402
 
-TOTALS = [F.sum("revenue_INR").alias("total_revenue"), F.sum("units_sold").alias("total_units"), F.avg("price_INR").alias("avg_price")]
+
+def totals() -> list[Column]:
+    return [F.sum("revenue_INR").alias("total_revenue"), F.sum("units_sold").alias("total_units"), F.avg("price_INR").alias("avg_price")]
 
 
 def drop(df: DataFrame) -> None:
@@ -36,8 +38,8 @@ def _calendar(df: DataFrame, day: str) -> DataFrame:
 
 
 def _ranked(df: DataFrame, group: list[str], item: str, n: int) -> DataFrame:
-    totals = df.groupBy(*group, item).agg(F.sum("revenue_INR").alias("total"))
-    return totals.withColumn("rank", F.rank().over(Window.partitionBy(*group).orderBy(F.col("total").desc()))).filter(F.col("rank") <= n)
+    summed = df.groupBy(*group, item).agg(F.sum("revenue_INR").alias("total"))
+    return summed.withColumn("rank", F.rank().over(Window.partitionBy(*group).orderBy(F.col("total").desc()))).filter(F.col("rank") <= n)
 
 
 def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def weather_daily(spark: SparkSession, sf_dir: str) -> None:
 
 def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = [F.count("*").alias("total_tx"), F.avg("discount_pct").alias("avg_discount"), F.avg("seller_rating").alias("avg_seller_rating")]
-    return _calendar(sales(spark, sf_dir).groupBy(F.col("festival_date").alias("date")).agg(*TOTALS, *more), "date")
+    return _calendar(sales(spark, sf_dir).groupBy(F.col("festival_date").alias("date")).agg(*totals(), *more), "date")
 
 
 def overall_kpis(spark: SparkSession, sf_dir: str) -> None:
@@ -68,7 +70,7 @@ def overall_kpis(spark: SparkSession, sf_dir: str) -> None:
 def festival_category(spark: SparkSession, sf_dir: str) -> None:
     rows = sales(spark, sf_dir)
     top = _ranked(rows, ["festival", "year"], "product", 5).groupBy("festival", "year").agg(F.collect_list(F.struct("product", "total")).alias("top_products"))
-    drop(rows.groupBy("festival", "product_category", "year").agg(*TOTALS).join(top, ["festival", "year"], "left"))
+    drop(rows.groupBy("festival", "product_category", "year").agg(*totals()).join(top, ["festival", "year"], "left"))
 
 
 def top_products(spark: SparkSession, sf_dir: str) -> None:
@@ -78,7 +80,7 @@ def top_products(spark: SparkSession, sf_dir: str) -> None:
 def geo_summary(spark: SparkSession, sf_dir: str) -> None:
     rows = sales(spark, sf_dir)
     best = _ranked(rows, ["state", "city", "year"], "product_category", 1).drop("total", "rank")
-    drop(rows.groupBy("state", "city", "latitude", "longitude", "year").agg(*TOTALS).join(best, ["state", "city", "year"], "left"))
+    drop(rows.groupBy("state", "city", "latitude", "longitude", "year").agg(*totals()).join(best, ["state", "city", "year"], "left"))
 
 
 def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +92,7 @@ def weather_sales(spark: SparkSession, sf_dir: str) -> None:
     warm = F.when(F.col("avg_temp_C") < 15, "<15").when(F.col("avg_temp_C") <= 25, "15-25").when(F.col("avg_temp_C") <= 35, "25-35").otherwise(">35")
     damp = F.when(F.col("avg_humidity_pct") < 40, "<40").when(F.col("avg_humidity_pct") <= 70, "40-70").otherwise(">70")
     keys = [F.year("sale_day").alias("year"), F.month("sale_day").alias("month"), warm.alias("warm"), damp.alias("damp"), (F.col("total_precip_mm") > 0).alias("rain")]
-    drop(_joined(spark, sf_dir).groupBy("city", "sale_day", *keys).agg(*TOTALS))
+    drop(_joined(spark, sf_dir).groupBy("city", "sale_day", *keys).agg(*totals()))
 
 
 def unmatched_report(spark: SparkSession, sf_dir: str) -> None:
@@ -100,7 +102,7 @@ def unmatched_report(spark: SparkSession, sf_dir: str) -> None:
 
 
 def payment_vendor(spark: SparkSession, sf_dir: str) -> None:
-    drop(sales(spark, sf_dir).groupBy("vendor_type", "payment_methods", "year").agg(*TOTALS[:2], F.avg("discount_pct").alias("avg_discount")))
+    drop(sales(spark, sf_dir).groupBy("vendor_type", "payment_methods", "year").agg(*totals()[:2], F.avg("discount_pct").alias("avg_discount")))
 
 
 def share_data(spark: SparkSession, sf_dir: str) -> None:
