@@ -63,6 +63,20 @@ def from_bytes(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray
     return [None if flag else name for flag, name in zip(null, names)], sizes, values
 
 
+def ids_of(payload: bytes, place: int) -> np.ndarray:
+    """The ids of the document at a place of a shard; only the blocks that hold them are decoded."""
+    if payload[:4] != MAGIC:
+        raise ValueError("not a shard of Simple-8b words")
+    docs, _, blocks, _ = struct.unpack_from("<4q", payload, 4)
+    ends = np.cumsum(np.frombuffer(payload, "<i8", docs, 36 + 9 * docs))
+    start, end = (int(ends[place - 1]) if place else 0), int(ends[place])
+    first, last = start // simple8b.BLOCK, -(-end // simple8b.BLOCK)
+    at = 36 + 17 * docs
+    offsets = np.frombuffer(payload, "<u4", blocks + 1, at).astype(np.int64)
+    words = np.frombuffer(payload, "<u8", int(offsets[last] - offsets[first]), at + 4 * (blocks + 1) + 8 * int(offsets[first]))
+    return simple8b.unpack(words)[start - first * simple8b.BLOCK : end - first * simple8b.BLOCK].astype("<u4")
+
+
 def write(df: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id", vocabulary: str | None = None, shard_ids: int = SHARD_IDS) -> None:
     """Encode the whole texts of ``df`` and write them to a container at ``path``."""
     vocabulary = vocabulary or default_path()
