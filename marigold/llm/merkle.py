@@ -236,7 +236,9 @@ class Manifest:
 
 def build(leaves: DataFrame, height: int = HEIGHT) -> Manifest:
     """The manifest of ``key, doc_id, digest`` and ``claim`` (a digest to be checked, null for the row's own)."""
-    parts = _forest(_place(stage(leaves, "leaves"), "doc_id", "digest"), height, "doc_id", "claim")
+    # The last key deals rows that are alike in all columns, however many they are, over several partitions.
+    numbered = stage(leaves.withColumn("tie", F.monotonically_increasing_id()), "leaves")
+    parts = _forest(_place(numbered, "doc_id", "digest", "tie").drop("tie"), height, "doc_id", "claim")
     ends = [_tops(parts, i, height).select(F.col("key").alias("part"), F.col("root").alias("digest"), F.lit(i).alias("level")) for i in range(len(parts))]
     subroots = _place(reduce(DataFrame.unionByName, ends).withColumn("key", F.lit("")), "part")
     subroots = stage(subroots, "subroots")

@@ -134,3 +134,12 @@ def test_query_equals_sql_and_lists(spark, duck, sf_dir):
     assert found == Counter(duck.execute(f"select {', '.join(NAMES)} from ({oracle_sql()['op11_merkle_manifest']})").fetchall())
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").collect()
     assert found == expected([tuple(d) for d in docs])
+
+
+def test_equal_rows_are_dealt_over_tasks(spark):
+    rows = [(1, "the same", "en", "s", 8)] * 3000 + [(i, "own", "en", "s", 3) for i in range(2, 900)]
+    docs = spark.createDataFrame(rows, brute.SCHEMA).repartition(6)
+    assert got(checked(docs, 2)) == expected(rows)
+    numbered = merkle.leaves(docs).withColumn("tie", F.monotonically_increasing_id())
+    placed = merkle._place(numbered, "doc_id", "digest", "tie")
+    assert sorted(r["rank"] for r in placed.select("rank").collect()) == list(range(len(rows)))
