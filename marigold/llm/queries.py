@@ -1,73 +1,59 @@
-"""One query for each operator, with production parameters over the whole of its table."""
+"""One query for each operator on single documents and vectors, with production parameters over the whole of its table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marigold.llm import bpe_codec, embedding_dedup, filter_audit, line_dedup, merkle, minhash, mixing, packing, quality_model, quality_rules, substring_dedup, token_counts, token_files
+from marigold.llm import embedding_dedup, line_dedup, minhash, mixing, packing, quality_model, quality_rules, substring_dedup, token_counts, token_files
 from marigold.staging import scratch_path
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return embedding_dedup.deduplicate(_table(spark, sf_dir, "embeddings"))
+    return embedding_dedup.deduplicate(table(spark, sf_dir, "embeddings"))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_model.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = minhash.group(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+    found = minhash.group(table(spark, sf_dir, "documents"), shingle=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write(_table(spark, sf_dir, "documents"), path)
+    token_files.write(table(spark, sf_dir, "documents"), path)
     return token_files.read(spark, path)
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.count(_table(spark, sf_dir, "documents"))
+    return token_counts.count(table(spark, sf_dir, "documents"))
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.allocate(_table(spark, sf_dir, "documents"))
+    return mixing.allocate(table(spark, sf_dir, "documents"))
 
 
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.deduplicate(_table(spark, sf_dir, "documents")).drop("kept_text")
+    return substring_dedup.deduplicate(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.clean(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    cleaned = line_dedup.clean(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.measure(_table(spark, sf_dir, "documents")).drop("clean_text")
-
-
-def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return merkle.check(merkle.build(merkle.leaves(docs, claim=merkle.tampered(docs))))
-
-
-def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = filter_audit.patterns(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return filter_audit.audit(counts)
-
-
-def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_codec.round_trip(_table(spark, sf_dir, "documents"))
+    return quality_rules.measure(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
 QUERIES = {
@@ -81,7 +67,4 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_quality_rules": op10_quality_rules,
-    "op11_merkle_manifest": op11_merkle_manifest,
-    "op12_filter_audit": op12_filter_audit,
-    "op13_bpe_codec": op13_bpe_codec,
 }
