@@ -145,6 +145,8 @@ def scatter_data(df: DataFrame, x: str, y: str, color: str | None = None) -> Dat
 # Bits of a row's place by which ``scatter_sample`` counts rows before it ranks any.
 SAMPLE_BITS = 16
 PLACE_BITS = 52
+# Rows from which on a colour is cut down before it is shuffled.
+LARGE_COLOUR = 100_000
 
 
 def _place_of(keys: Sequence[str]) -> Column:
@@ -163,7 +165,9 @@ def scatter_sample(
     colour's rows the points stand for, so that a chart can scale counts back.
 
     Rows are first counted by the upper bits of their place in that order. These counts say how far the first ``n`` of
-    each colour reach, and only rows up to there, ``n`` and a 65,536th of the colour or so, are shuffled and ranked.
+    each large colour reach, and only rows up to there, ``n`` and a 65,536th of the colour or so, are shuffled and
+    ranked. Large colours are few (at most one for ``LARGE_COLOUR`` rows), so their limits are broadcast: a join by
+    colour would bring all rows of a colour into one task. Rows of smaller colours are ranked as they are.
     """
     scatter_data(df, x, y, color)
     if n < 1:
@@ -177,12 +181,17 @@ def scatter_sample(
     limits = counts.withColumn("__upto", upto).groupBy(F.col("__hue").alias("__its"))
     limits = limits.agg(F.sum("__here").alias("__all"), F.min(F.when(F.col("__upto") >= n, F.col("__slot"))).alias("__last"))
     if color:
-        near = rows.join(limits, F.col("__hue").eqNullSafe(F.col("__its")))
+        large = limits.filter(F.col("__all") > max(n, LARGE_COLOUR)).select(F.col("__its").alias("__large"), "__last")
+        near = rows.join(F.broadcast(large), F.col("__hue").eqNullSafe(F.col("__large")), "left").drop("__large")
     else:
-        near = rows.withColumns({c: limits.select(c).scalar() for c in ("__all", "__last")})
+        near = rows.withColumn("__last", limits.select("__last").scalar())
     near = near.filter(F.col("__last").isNull() | (F.col("__slot") <= F.col("__last")))
     order = ["__at", *[f"__k{i}" for i in range(len(chosen))], *told]
     first = near.withColumn("__rank", F.row_number().over(Window.partitionBy("__hue").orderBy(*order))).filter(F.col("__rank") <= n)
+    if color:
+        first = first.join(limits, F.col("__hue").eqNullSafe(F.col("__its")))
+    else:
+        first = first.withColumn("__all", limits.select("__all").scalar())
     return first.select(*told, F.least(F.lit(1.0), F.lit(float(n)) / F.col("__all")).alias(share))
 
 
