@@ -187,16 +187,21 @@ def least_kind(text: Column) -> Column:
     A number with zeros before it (``007``) is text: as a number it would lose them.
     """
     t = F.trim(text)
-    number = t.rlike(r"^[+-]?(0|[1-9]\d*)$")
+    lead = F.ascii(t)
+    numeric = lead.between(ord("+"), ord("9")) | lead.isin(ord("N"), ord("I"))  # how anything but flags and text begins
+    number = ~F.contains(t, F.lit(".")) & t.rlike(r"^[+-]?(0|[1-9]\d*)$")
+    long = t.try_cast("bigint")  # no cast is tried that will fail on common values: that costs an exception each
+    digit = (F.length(t) > 4) | t.rlike(r"\d")  # a sign, a point and a line end are no number
+    short = (F.length(t) <= 38) | (F.length(F.regexp_replace(t, r"[+\-.]", "")) <= 38)
+    decimal = F.when(short, DECIMAL).otherwise(DOUBLE)
     return (
         F.when(t.isNull() | (t == ""), F.lit(None))
-        .when(number & t.try_cast("int").isNotNull(), INT)
-        .when(number & t.try_cast("bigint").isNotNull(), LONG)
-        .when(t.rlike(r"^[+-]?(0|[1-9]\d*)?(\.\d*)?$") & t.rlike(r"\d"), F.when(F.length(F.regexp_replace(t, r"[+\-.]", "")) <= 38, DECIMAL).otherwise(DOUBLE))
+        .when(~numeric, F.when(F.lower(t).isin("true", "false"), FLAG).otherwise(TEXT))
+        .when(number, F.when(F.length(t) <= 9, INT).when(long.between(-(1 << 31), (1 << 31) - 1), INT).when(long.isNotNull(), LONG).otherwise(decimal))
+        .when(t.rlike(r"^[+-]?(0|[1-9]\d*)?(\.\d*)?$") & digit, decimal)
         .when(t.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)[eE][+-]?\d+$|^[+-]?(NaN|Infinity|Inf)$"), DOUBLE)
         .when(t.rlike(r"^\d{4}-\d{2}-\d{2}$") & t.try_cast("date").isNotNull(), DAY)
         .when(t.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}") & t.try_cast("timestamp").isNotNull(), TIME)
-        .when(F.lower(t).isin("true", "false"), FLAG)
         .otherwise(TEXT)
     )
 
@@ -206,11 +211,9 @@ def lattice_state(columns: list[str]) -> list[Column]:
     state = []
     for i, name in enumerate(columns):
         text = F.col(f"`{name}`")
-        kind, t = least_kind(text), F.trim(text)
-        plain = kind.isin(INT, LONG, DECIMAL)
-        whole = F.length(F.ltrim(F.regexp_replace(F.substring_index(t, ".", 1), r"[+\-]", ""), F.lit("0")))
-        behind = F.when(F.instr(t, ".") > 0, F.length(F.substring_index(t, ".", -1))).otherwise(0)
-        state += [F.bit_or(kind).alias(f"kinds{i}"), F.max(F.when(plain, whole)).alias(f"whole{i}"), F.max(F.when(plain, behind)).alias(f"behind{i}")]
+        kind = least_kind(text)
+        whole, behind = _digits(F.trim(text), kind)
+        state += [F.bit_or(kind).alias(f"kinds{i}"), F.max(whole).alias(f"whole{i}"), F.max(behind).alias(f"behind{i}")]
     return state
 
 
@@ -237,11 +240,20 @@ def _schema(columns: list[str], state: Mapping[str, int], decimals: bool) -> T.S
 
 
 def infer_schema(raw: DataFrame, decimals: bool = False) -> T.StructType:
-    """Types of a table of text columns: one scan, one partial state per task, one row to the driver.
+    """Types of a table of text columns: one scan, a partial state per task and column, one row per column to the driver.
+
+def _digits(t: Column, kind: Column) -> tuple[Column, Column]:
+    """Digits before and behind the point of a trimmed text that is a plain number; null for others."""
+    plain = kind.isin(INT, LONG, DECIMAL)
+    whole = F.length(F.ltrim(F.substring_index(t, ".", 1), F.lit("+-0")))
+    behind = F.when(F.instr(t, ".") > 0, F.length(F.substring_index(t, ".", -1))).otherwise(0)
+    return F.when(plain, whole), F.when(plain, behind)
+
 
     ``decimals`` gives numbers with a point a decimal with the digits met; otherwise they are doubles.
     """
-    return _schema(raw.columns, raw.agg(*lattice_state(raw.columns)).first().asDict(), decimals)
+    found = lattice_rows(raw).collect()
+    return _schema(raw.columns, {f"{name}{row['at']}": row[name] for row in found for name in ("kinds", "whole", "behind")}, decimals)
 
 
 def infer_on_the_way(raw: DataFrame, write: Callable[[DataFrame], DataFrame], decimals: bool = False) -> tuple[DataFrame, T.StructType]:
@@ -252,3 +264,11 @@ def infer_on_the_way(raw: DataFrame, write: Callable[[DataFrame], DataFrame], de
     seen = Observation()
     staged = write(raw.observe(seen, *lattice_state(raw.columns)))
     return staged, _schema(raw.columns, seen.get, decimals)
+def lattice_rows(raw: DataFrame) -> DataFrame:
+    """The lattice state with a row per column. Values are laid out one to a row: generated code is that of one column."""
+    values = raw.select(F.posexplode(F.array(*[F.col(f"`{name}`").cast("string") for name in raw.columns])).alias("at", "text"))
+    kinds = values.select("at", F.trim("text").alias("text"), least_kind(F.col("text")).alias("kind"))
+    whole, behind = _digits(F.col("text"), F.col("kind"))
+    return kinds.groupBy("at").agg(F.bit_or("kind").alias("kinds"), F.max(whole).alias("whole"), F.max(behind).alias("behind"))
+
+

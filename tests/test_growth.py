@@ -2,7 +2,29 @@
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
 from marigold.operators import explore
+from marigold.sources.typed import infer_schema, lattice_rows
+
+COMPILED = 8_000  # bytes of a method beyond which it is never compiled
+
+
+def largest_method(df) -> int:
+    codes = df._jdf.queryExecution().debug().codegenToSeq()
+    return max((codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())), default=0)
+
+
+def texts(spark, names):
+    return spark.createDataFrame([("1",) * len(names)], T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+
+def test_inference_of_many_columns_stays_compiled_code(spark, tmp_path):
+    names = [f"c{i}" for i in range(40)]
+    texts(spark, names).write.option("header", True).csv(str(tmp_path / "t.csv"))
+    raw = spark.read.option("header", True).csv(str(tmp_path / "t.csv"))
+    assert largest_method(lattice_rows(raw)) < COMPILED
+    assert infer_schema(raw).simpleString() == "struct<" + ",".join(f"{n}:int" for n in names) + ">"
 
 
 def test_only_rows_near_the_limit_of_a_large_colour_are_shuffled(spark, monkeypatch):
