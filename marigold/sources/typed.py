@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 from functools import reduce
 from operator import or_
 
@@ -27,7 +28,9 @@ from marigold.sources.sinks import Written, write_parquet
 from marigold.sources.tables import read_csv
 
 FITS, ROUNDED, FAILED = 0, 1, 2
+BYTES = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8}
 _FLAG, _TEXT = "__flag_", "__text_"
+_BARE, _VALUE, _ROW = "__bare_", "__value_", "__row"
 
 
 def _lost_digits(text: Column, value: Column, scale: int) -> Column:
@@ -39,32 +42,52 @@ def _lost_digits(text: Column, value: Column, scale: int) -> Column:
     return F.when(powers, value.cast("double") != text.try_cast("double")).otherwise(long & digits)
 
 
-def converted(text: Column, kind: T.DataType, fmt: str | None = None, zone: str = "UTC") -> tuple[Column, Column]:
-    """The value of a text column as ``kind``, and whether it fits, was rounded or failed."""
-    trimmed = F.trim(text, F.lit(" \t\r\n"))
-    there = trimmed != ""
-    if isinstance(kind, T.StringType):
-        return text, F.lit(FITS)
+def _scale(kind: T.DataType) -> int:
+    return kind.scale if isinstance(kind, T.DecimalType) else 0
+
+
+def _bare(text: Column) -> Column:
+    return F.trim(text, F.lit(" \t\r\n"))
+
+
+def _candidate(bare: Column, kind: T.DataType, fmt: str | None, zone: str) -> Column:
+    """What a text without blanks around it is read as; ``_value`` decides what of it counts."""
+    if isinstance(kind, T.DateType) and fmt:
+        return F.try_to_date(bare, fmt)
+    if isinstance(kind, T.TimestampType):
+        return F.try_to_timestamp(bare, F.lit(fmt)) if fmt else instant_of(bare, zone)
     if isinstance(kind, (T.IntegralType, T.DecimalType)):
-        scale = kind.scale if isinstance(kind, T.DecimalType) else 0
-        value = trimmed.try_cast(kind) if scale or isinstance(kind, T.DecimalType) else trimmed.try_cast("decimal(38,0)").try_cast(kind)
-        flag = F.when(value.isNull(), FAILED).when(_lost_digits(trimmed, value, scale), ROUNDED).otherwise(FITS)
+        return bare.try_cast(T.DecimalType(38, _scale(kind)))
+    return bare.try_cast(kind)
+
+
+def _value(bare: Column, candidate: Column, kind: T.DataType) -> Column:
+    value = candidate
+    # Compared first: a cast beyond the range costs an exception, also where it is tried only.
+    if isinstance(kind, T.IntegralType):
+        most = 1 << (8 * BYTES[type(kind)] - 1)
+        value = F.when(candidate.between(F.lit(Decimal(-most)), F.lit(Decimal(most - 1))), candidate.cast(kind))
+    elif isinstance(kind, T.DecimalType):
+        if kind.precision < 38:
+            value = F.when(F.abs(candidate) < F.lit(Decimal(10 ** (kind.precision - kind.scale))), candidate.cast(kind))
     elif isinstance(kind, T.FractionalType):
-        number = trimmed.try_cast(kind)
         # Java reads "1d" and "1f" as numbers; and a number beyond the range as infinity.
-        suffix = trimmed.rlike("[0-9.][dDfF]$")
-        beyond = F.abs(number) == float("inf")
-        value = F.when(~suffix & ~(beyond & trimmed.rlike("[0-9]")), number)
-        flag = F.when(value.isNull(), FAILED).otherwise(FITS)
-    else:
-        if isinstance(kind, T.DateType) and fmt:
-            value = F.try_to_date(trimmed, fmt)
-        elif isinstance(kind, T.TimestampType):
-            value = F.try_to_timestamp(trimmed, F.lit(fmt)) if fmt else instant_of(trimmed, zone)
-        else:
-            value = trimmed.try_cast(kind)
-        flag = F.when(value.isNull(), FAILED).otherwise(FITS)
-    return F.when(there, value), F.when(there, flag).otherwise(FITS)
+        suffix = reduce(or_, [F.endswith(bare, F.lit(c)) for c in "dDfF"]) & bare.rlike("[0-9.][dDfF]$")
+        beyond = F.abs(candidate) == float("inf")
+        value = F.when(~suffix & ~(beyond & bare.rlike("[0-9]")), candidate)
+    return F.when(bare != "", value)
+
+
+def _flag(bare: Column, value: Column, kind: T.DataType) -> Column:
+    flag = F.when(value.isNull(), FAILED)
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        flag = flag.when(_lost_digits(bare, value, _scale(kind)), ROUNDED)
+    return F.when(bare != "", flag.otherwise(FITS)).otherwise(FITS)
+
+
+def _steps(kind: T.DataType, fmt: str | None, zone: str) -> tuple[Callable[[Column], Column], Callable[[Column, Column], Column], Callable[[Column, Column], Column]]:
+    """What a bare text is read as, its value, and whether it fits, was rounded or failed."""
+    return (lambda bare: _candidate(bare, kind, fmt, zone)), (lambda bare, read: _value(bare, read, kind)), (lambda bare, value: _flag(bare, value, kind))
 
 
 @dataclass(frozen=True)
@@ -111,29 +134,44 @@ class Typed:
             entries.append(F.when(flag > FITS, told))
         found = F.filter(F.array(*entries).cast(kind), lambda entry: entry.isNotNull())
         bad = reduce(or_, [F.col(f"`{_FLAG}{c}`") > FITS for c in self.checked], F.lit(False))
-        return self.rows.filter(bad).withColumn("faults", found).drop(*self.hidden)
+        # A number of the row keeps the filter above the conversion: pushed below, it would convert every text a second time.
+        numbered = self.rows.withColumn(_ROW, F.monotonically_increasing_id())
+        return numbered.filter(bad & (F.col(_ROW) >= 0)).withColumn("faults", found).drop(_ROW, *self.hidden)
 
 
 def typed(
     raw: DataFrame, schema: T.StructType | Mapping[str, T.DataType], strict: bool = False, formats: Mapping[str, str] | None = None, zone: str = "UTC"
 ) -> Typed:
-    """Convert the columns that ``schema`` names; others stay text. ``strict`` makes the first fault an error."""
-    kinds = {f.name: f.dataType for f in schema} if isinstance(schema, T.StructType) else dict(schema)
-    shown, hidden, checked = [], [], []
-    for name in raw.columns:
-        text = F.col(f"`{name}`")
-        kind = kinds.get(name, T.StringType())
-        if isinstance(kind, T.StringType):
+    """Convert the columns that ``schema`` names; others stay text. ``strict`` makes the first fault an error.
+
+    Columns of one type go as one array through each step (text without blanks, value, flag). What a later step uses more
+    than once is so computed once, and the generated code does not grow with the columns: beyond 8,000 bytes a method is
+    never compiled.
+    """
+    declared = {f.name: f.dataType for f in schema} if isinstance(schema, T.StructType) else dict(schema)
+    kinds = {name: declared[name] for name in raw.columns if not isinstance(declared.get(name, T.StringType()), T.StringType)}
+    groups: dict[tuple, list[str]] = {}
+    for name, kind in kinds.items():
+        groups.setdefault((kind, (formats or {}).get(name)), []).append(name)
+    texts, rows = {name: F.col(f"`{name}`") for name in raw.columns}, raw
+    marks = [(F.col(f"{_BARE}{i}"), F.col(f"{_VALUE}{i}"), F.col(f"{_FLAG}{i}")) for i in range(len(groups))]
+    steps = [_steps(kind, fmt, zone) for kind, fmt in groups]
+    rows = rows.withColumns({f"{_BARE}{i}": F.transform(F.array(*[texts[c].cast("string") for c in names]), _bare) for i, names in enumerate(groups.values())})
+    rows = rows.withColumns({f"{_VALUE}{i}": F.zip_with(marks[i][0], F.transform(marks[i][0], read), value) for i, (read, value, _) in enumerate(steps)})
+    rows = rows.withColumns({f"{_FLAG}{i}": F.zip_with(marks[i][0], marks[i][1], flag) for i, (_, _, flag) in enumerate(steps)})
+    found = {name: (marks[i][1][at], marks[i][2][at]) for i, names in enumerate(groups.values()) for at, name in enumerate(names)}
+    shown, hidden = [], []
+    for name, text in texts.items():
+        if name not in found:
             shown.append(text)
             continue
-        value, flag = converted(text, kind, (formats or {}).get(name), zone)
+        value, flag = found[name]
         if strict:
-            told = F.raise_error(F.concat(F.lit(f"{name}: no {kind.simpleString()}: "), text))
-            value = F.when(flag > FITS, told.cast(kind)).otherwise(value)
+            told = F.raise_error(F.concat(F.lit(f"{name}: no {kinds[name].simpleString()}: "), text))
+            value = F.when(flag > FITS, told.cast(kinds[name])).otherwise(value)
         shown.append(value.alias(name))
         hidden += [flag.alias(f"{_FLAG}{name}"), text.alias(f"{_TEXT}{name}")]
-        checked.append(name)
-    return Typed(raw.select(*shown, *hidden), tuple(checked))
+    return Typed(rows.select(*shown, *hidden), tuple(kinds))
 
 
 def read_typed_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, strict: bool = False, formats: Mapping[str, str] | None = None, **options: str) -> Typed:
@@ -206,6 +244,14 @@ def least_kind(text: Column) -> Column:
     )
 
 
+def _digits(t: Column, kind: Column) -> tuple[Column, Column]:
+    """Digits before and behind the point of a trimmed text that is a plain number; null for others."""
+    plain = kind.isin(INT, LONG, DECIMAL)
+    whole = F.length(F.ltrim(F.substring_index(t, ".", 1), F.lit("+-0")))
+    behind = F.when(F.instr(t, ".") > 0, F.length(F.substring_index(t, ".", -1))).otherwise(0)
+    return F.when(plain, whole), F.when(plain, behind)
+
+
 def lattice_state(columns: list[str]) -> list[Column]:
     """Mergeable aggregates per column: the kinds met, and the most digits before and behind the point."""
     state = []
@@ -239,16 +285,16 @@ def _schema(columns: list[str], state: Mapping[str, int], decimals: bool) -> T.S
     return T.StructType([T.StructField(name, kind) for name, kind in zip(columns, kinds)])
 
 
-def infer_schema(raw: DataFrame, decimals: bool = False) -> T.StructType:
-    """Types of a table of text columns: one scan, a partial state per task and column, one row per column to the driver.
+def lattice_rows(raw: DataFrame) -> DataFrame:
+    """The lattice state with a row per column. Values are laid out one to a row: generated code is that of one column."""
+    values = raw.select(F.posexplode(F.array(*[F.col(f"`{name}`").cast("string") for name in raw.columns])).alias("at", "text"))
+    kinds = values.select("at", F.trim("text").alias("text"), least_kind(F.col("text")).alias("kind"))
+    whole, behind = _digits(F.col("text"), F.col("kind"))
+    return kinds.groupBy("at").agg(F.bit_or("kind").alias("kinds"), F.max(whole).alias("whole"), F.max(behind).alias("behind"))
 
-def _digits(t: Column, kind: Column) -> tuple[Column, Column]:
-    """Digits before and behind the point of a trimmed text that is a plain number; null for others."""
-    plain = kind.isin(INT, LONG, DECIMAL)
-    whole = F.length(F.ltrim(F.substring_index(t, ".", 1), F.lit("+-0")))
-    behind = F.when(F.instr(t, ".") > 0, F.length(F.substring_index(t, ".", -1))).otherwise(0)
-    return F.when(plain, whole), F.when(plain, behind)
 
+def infer_schema(raw: DataFrame, decimals: bool = False) -> T.StructType:
+    """Types of a table of text columns: one scan, a partial state per task and column, one row per column to the driver.
 
     ``decimals`` gives numbers with a point a decimal with the digits met; otherwise they are doubles.
     """
@@ -264,11 +310,3 @@ def infer_on_the_way(raw: DataFrame, write: Callable[[DataFrame], DataFrame], de
     seen = Observation()
     staged = write(raw.observe(seen, *lattice_state(raw.columns)))
     return staged, _schema(raw.columns, seen.get, decimals)
-def lattice_rows(raw: DataFrame) -> DataFrame:
-    """The lattice state with a row per column. Values are laid out one to a row: generated code is that of one column."""
-    values = raw.select(F.posexplode(F.array(*[F.col(f"`{name}`").cast("string") for name in raw.columns])).alias("at", "text"))
-    kinds = values.select("at", F.trim("text").alias("text"), least_kind(F.col("text")).alias("kind"))
-    whole, behind = _digits(F.col("text"), F.col("kind"))
-    return kinds.groupBy("at").agg(F.bit_or("kind").alias("kinds"), F.max(whole).alias("whole"), F.max(behind).alias("behind"))
-
-
