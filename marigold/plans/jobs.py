@@ -84,7 +84,7 @@ def _reported(scan: Typed, written: Written, days: str, quarantine: str) -> tupl
     others = {column: counts for column, counts in account.items() if column != scan.checked[-1]}
     if others:
         found["faults"] = others
-    return found, write_parquet(scan.faults(), quarantine) if account else None
+    return found, write_parquet(scan.faults(account), quarantine) if account else None
 
 
 def _master_from_text(
